@@ -23,6 +23,11 @@ def part(document: str | Column, key: str) -> Column:
     return F.try_variant_get(document, key_path(key), "variant")
 
 
+def json(document: str | Column, key: str) -> Column:
+    """The value under a key as JSON text, strings quoted; a JSON null is NULL."""
+    return F.nullif(F.to_json(part(document, key)), F.lit("null"))
+
+
 def items(document: str | Column) -> Column:
     """The elements of an array document; anything else is NULL and explodes to no rows."""
     return F.try_variant_get(document, "$", "array<variant>")

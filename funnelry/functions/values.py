@@ -44,7 +44,7 @@ def full_name(first: str, last: str) -> Column:
 def split_list_text(value: str | Column) -> Column:
     """Array-like text such as ``["a", "b"]`` or ``a, b`` as its trimmed parts."""
     bare = F.regexp_replace(F.regexp_replace(value, r"^\[|\]$", ""), '"', "")
-    return F.transform(F.split(F.trim(bare), r"\s*,\s*"), F.trim)
+    return F.transform(F.split(F.trim(bare), r"\s*,\s*"), lambda part: F.trim(part))
 
 
 # --- money and ratios ---------------------------------------------------------------

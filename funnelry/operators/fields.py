@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -33,19 +33,29 @@ def ids_by_name(field_map: DataFrame, names: Iterable[str]) -> dict[str, list[st
     return {name: sorted(ids) for name, ids in found.items()}
 
 
-def mapped_text(document: str, field_ids: Sequence[str]) -> Column:
+def mapped_text(
+    document: str,
+    field_ids: Sequence[str],
+    read: Callable[[str, str], Column] = documents.text,
+) -> Column:
     """Text of the mapped fields; the greatest where several ids are filled."""
-    found = [documents.text(document, PREFIX + i) for i in field_ids]
+    found = [read(document, PREFIX + i) for i in field_ids]
     if not found:
         return F.lit(None).cast("string")
     return found[0] if len(found) == 1 else F.greatest(*found)
 
 
 def project_fields(
-    events: DataFrame, document: str, ids: Mapping[str, Sequence[str]]
-) -> DataFrame:
-    """One column per canonical name. A plain projection: no explode, no pivot shuffle."""
-    return events.withColumns({n: mapped_text(document, i) for n, i in ids.items()})
+    document: str, ids: Mapping[str, Sequence[str]], as_json: Collection[str] = ()
+) -> list[Column]:
+    """One column per canonical name, for a plain projection: no explode, no pivot.
+
+    Names in ``as_json`` keep their JSON form, which tells lists from text.
+    """
+    return [
+        mapped_text(document, i, documents.json if n in as_json else documents.text).alias(n)
+        for n, i in ids.items()
+    ]
 
 
 def explode_keys(events: DataFrame, document: str, keep: Sequence[str]) -> DataFrame:

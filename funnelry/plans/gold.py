@@ -10,6 +10,7 @@ from funnelry.operators import fields
 from funnelry.operators.asof import first_at_or_after
 from funnelry.operators.latest import RANK, latest_by
 from funnelry.operators.skew import HEAVY_ROWS
+from funnelry.plans.silver import NEWEST, TIES
 from funnelry.schema import LINEAGE
 from funnelry.sources.tables import stored
 
@@ -116,27 +117,31 @@ def active_types(type_map: DataFrame, stages: list[str]) -> DataFrame:
     ).select("custom_activity_type_id", "funnel_source", "funnel_stage")
 
 
-def funnel_events(
-    events: DataFrame,
-    type_map: DataFrame,
-    field_map: DataFrame,
-    stages: list[str] = FUNNEL_STAGES,
-) -> DataFrame:
-    """Mapped events with their business fields as columns.
+EVENT_COLUMNS = [
+    "lead_id",
+    "activity_id",
+    "custom_activity_type_id",
+    "activity_at",
+    "activity_updated_at",
+    "user_id",
+]
+
 
-    Events are already one row per activity, so the fields are read in a projection; a
-    long form and a pivot over events x fields would shuffle the same rows again.
+def business_fields(events: DataFrame, field_map: DataFrame, keep: list[str]) -> DataFrame:
+    """Events reduced to ``keep`` and the text of their mapped business fields.
+
+    The fields are read in a projection: each event is one row already, so a long form
+    of events x fields and a pivot back would only shuffle the same rows again.
     """
-    mapped = events.join(active_types(type_map, stages), "custom_activity_type_id")
     ids = fields.ids_by_name(field_map, TEXT_FIELDS + MONEY_FIELDS + ROLE_FIELDS)
-    wide = fields.project_fields(mapped, "activity", ids)
-    return wide.select(
-        "lead_id",
-        "activity_id",
-        "custom_activity_type_id",
-        "activity_at",
-        "activity_updated_at",
-        "user_id",
+    found = fields.project_fields("activity", ids, as_json=["objections_faced"])
+    return events.select(*keep, *found)
+
+
+def _typed(wide: DataFrame, type_map: DataFrame, stages: list[str]) -> DataFrame:
+    mapped = wide.join(active_types(type_map, stages), "custom_activity_type_id")
+    return mapped.select(
+        *EVENT_COLUMNS,
         "funnel_source",
         "funnel_stage",
         *TEXT_FIELDS,
@@ -145,6 +150,32 @@ def funnel_events(
     )
 
 
+def funnel_events(
+    events: DataFrame,
+    type_map: DataFrame,
+    field_map: DataFrame,
+    stages: list[str] = FUNNEL_STAGES,
+) -> DataFrame:
+    """Mapped events with their business fields, from deduplicated custom activities."""
+    return _typed(business_fields(events, field_map, EVENT_COLUMNS), type_map, stages)
+
+
+def latest_funnel_events(
+    activities: DataFrame,
+    type_map: DataFrame,
+    field_map: DataFrame,
+    stages: list[str] = FUNNEL_STAGES,
+) -> DataFrame:
+    """The same from delivered activities, where no deduplicated table is stored.
+
+    The documents are reduced to their business fields first, so the deduplication
+    shuffles a few short columns instead of whole documents.
+    """
+    custom = activities.where(F.col("activity_type") == "CustomActivity")
+    narrow = business_fields(custom, field_map, EVENT_COLUMNS + TIES)
+    return _typed(latest_by(narrow, ["lead_id", "activity_id"], NEWEST + TIES), type_map, stages)
+
+
 def pivot_fields(long: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     """Long field rows (``canonical_field_name``, ``field_value``) to one column per name."""
     return long.groupBy(*keys).agg(
@@ -231,11 +262,11 @@ def funnel_paths(events: DataFrame, max_rows: int = HEAVY_ROWS) -> DataFrame:
 
 
 def fact_lead_funnel(
-    events: DataFrame, type_map: DataFrame, field_map: DataFrame, max_rows: int = HEAVY_ROWS
+    activities: DataFrame, type_map: DataFrame, field_map: DataFrame, max_rows: int = HEAVY_ROWS
 ) -> DataFrame:
-    """Funnel paths from deduplicated custom activities."""
-    narrow = stored(funnel_events(events, type_map, field_map), "funnel_events")
-    return funnel_paths(narrow, max_rows)
+    """Funnel paths straight from delivered activities."""
+    events = latest_funnel_events(activities, type_map, field_map)
+    return funnel_paths(stored(events, "funnel_events"), max_rows)
 
 
 # Which events each stage fact holds: stage and, for initial contacts, source.

@@ -23,17 +23,19 @@ def file_lines(source: DataFrame) -> DataFrame:
         F.make_valid_utf8("value").alias("value"),
         F.col("_metadata.file_path").alias("source_file_name"),
         F.col("_metadata.file_block_start").alias("split_start"),
-        F.monotonically_increasing_id().alias("line_id"),
     )
 
 
 def number_rows(lines: DataFrame) -> DataFrame:
     """Adds the 1-based line number within the file; large files stay split.
 
+    ``lines`` must come straight from the scan (:func:`file_lines`), unfiltered.
+
     A task reads a split's lines in order and gives them consecutive ids, so a line's
     number is its offset in the split plus the lines of the file's earlier splits. One
     pass counts the lines of each split; the lines themselves never move.
     """
+    lines = lines.withColumn("line_id", F.monotonically_increasing_id())
     splits = lines.groupBy(*SPLIT).agg(
         F.min("line_id").alias("first_id"), F.count("*").alias("n_lines")
     )
@@ -103,15 +105,15 @@ def empty_raw(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], RAW)
 
 
-def export_lines(table: DataFrame, payload: str = "raw_data") -> DataFrame:
+def export_lines(table: DataFrame, *keep: str) -> DataFrame:
     """``{"raw_data": ..., "insert_date": ...}`` lines of a source table."""
-    line = F.to_json(F.struct(F.col(payload).alias("raw_data"), "insert_date"))
-    return table.select(line.alias("value"))
+    line = F.to_json(F.struct("raw_data", "insert_date"))
+    return table.select(line.alias("value"), *keep)
 
 
-def export_files(table: DataFrame, folder: str, load_date: dt.date, payload: str = "raw_data"):
+def export_files(table: DataFrame, folder: str, load_date: dt.date) -> None:
     """Writes the lines under the date-partitioned landing layout."""
-    export_lines(table, payload).write.mode("overwrite").text(
+    export_lines(table).write.mode("overwrite").text(
         f"{folder}/load_date={load_date.isoformat()}"
     )
 
