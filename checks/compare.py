@@ -6,6 +6,7 @@ import sys
 import time
 
 import duckdb
+from pyspark.sql import SparkSession
 
 from checks.queries import ORACLE, QUERIES
 
@@ -56,18 +57,18 @@ def difference(spark, connection, sf_dir: str, name: str) -> str | None:
 
 
 def main(sf_dir: str, names: list[str]) -> int:
-    from funnelry.session import build_session
-
-    spark = build_session(
-        "checks",
-        "local[8]",
-        **{
-            "spark.sql.shuffle.partitions": "8",
-            "spark.ui.enabled": "false",
-            "spark.ui.showConsoleProgress": "false",
-            "spark.driver.memory": "8g",
-        },
-    )
+    # A plain session: the queries must not depend on the settings of build_session().
+    builder = SparkSession.builder.master("local[8]").appName("checks")
+    options = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "8g",
+    }
+    for key, value in options.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     connection = duck(sf_dir)
     failed = 0

@@ -12,7 +12,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelry.schema import LINEAGE
 from funnelry.sources.seeds import packaged_rows
 
 LOADS = [dt.datetime(2026, 5, 16, 7, 30), dt.datetime(2026, 5, 17, 7, 30)]
@@ -38,9 +37,13 @@ def outcome_labels(canonical: str) -> list[str]:
 
 
 def _pick(number: str, options: list[str | None]) -> str:
-    """CASE over number % len(options); the options are SQL literals."""
-    cases = " ".join(f"WHEN {k} THEN {o or 'NULL'}" for k, o in enumerate(options))
-    return f"CASE ({number}) % {len(options)} {cases} END"
+    """The option at number % len(options); the options are SQL literals.
+
+    ``@element`` and ``@[ @]`` stand for element access and array literals, which the
+    engines spell differently.
+    """
+    literals = ", ".join(o or "NULL" for o in options)
+    return f"@element(@[{literals}@], CAST(({number}) % {len(options)} AS INT) + 1)"
 
 
 def _labels(number: str, canonical: str, *more: str) -> str:
@@ -224,9 +227,29 @@ def _metadata_text() -> str:
 METADATA_TEXT = _metadata_text()
 
 
+def _spelled(expression: str, words: dict[str, str]) -> str:
+    for word, spelling in words.items():
+        expression = expression.replace(word, spelling)
+    return expression
+
+
 def spark_sql(expression: str) -> str:
-    text = expression.replace("{timestamp}", "TIMESTAMP_NTZ").replace("AS VARCHAR(20)", "AS STRING")
-    return text.replace("TIMESTAMP '", "TIMESTAMP_NTZ '")
+    return _spelled(
+        expression,
+        {
+            "@element": "element_at",
+            "@[": "array(",
+            "@]": ")",
+            "{timestamp}": "TIMESTAMP_NTZ",
+            "AS VARCHAR(20)": "AS STRING",
+            "TIMESTAMP '": "TIMESTAMP_NTZ '",
+        },
+    )
+
+
+def duckdb_sql(expression: str) -> str:
+    words = {"@element": "list_extract", "@[": "[", "@]": "]", "{timestamp}": "TIMESTAMP"}
+    return _spelled(expression, words)
 
 
 def _expr(expression: str) -> Column:
@@ -237,6 +260,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Shares a small table among all cores.
+
+    The test tables are single splits. A scan with as many splits as cores, as any large
+    one has, stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 # --- raw tables ---------------------------------------------------------------------
 
 
@@ -299,7 +332,7 @@ def activity_document() -> Column:
 
 def lead_activities_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wrapper rows ``{"data": [...]}``; some hold the same activity twice, some nothing."""
-    rows = _versions(read(spark, sf_dir, "events"), "event_id % 10 = 0")
+    rows = _versions(spread(read(spark, sf_dir, "events")), "event_id % 10 = 0")
     item = activity_document()
     lost = "v = 0 AND event_id % 97 = 0"
     data = (
@@ -335,13 +368,13 @@ def custom_activities_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(raw.alias("raw_data"), *_lineage("custom_activites_raw", "p_partkey"))
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "leads_raw": leads_raw(spark, sf_dir),
-        "lead_activities_raw": lead_activities_raw(spark, sf_dir),
-        "custom_activities_raw": custom_activities_raw(spark, sf_dir),
-        "close_crm_users_raw": users_raw(spark, sf_dir),
-    }
+RAW_TABLES = {
+    "leads_raw": leads_raw,
+    "lead_activities_raw": lead_activities_raw,
+    "custom_activities_raw": custom_activities_raw,
+    "close_crm_users_raw": users_raw,
+}
 
 
-__all__ = ["ACTIVITY", "LEAD", "USER", "USER_TEXT", "METADATA_TEXT", "LINEAGE", "raw_tables"]
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {name: build(spark, sf_dir) for name, build in RAW_TABLES.items()}

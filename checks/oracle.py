@@ -22,7 +22,7 @@ def _values(seed: str) -> str:
 
 
 def _columns(table: dict[str, str]) -> str:
-    return ",\n".join(f"{x.replace('{timestamp}', 'TIMESTAMP')} AS {n}" for n, x in table.items())
+    return ",\n".join(f"{crm.duckdb_sql(x)} AS {n}" for n, x in table.items())
 
 
 def _load(row: str, feed: str) -> str:
@@ -283,7 +283,7 @@ CTES = {
               FROM objection_rows GROUP BY ALL) c
         LEFT JOIN (SELECT report_date, count(DISTINCT strategy_activity_id) AS strategy_calls_evaluated
                    FROM calls GROUP BY ALL) e ON c.report_date = e.report_date""",
-    "meta": f"SELECT p_partkey, {crm.METADATA_TEXT} AS t FROM part",
+    "meta": f"SELECT p_partkey, {crm.duckdb_sql(crm.METADATA_TEXT)} AS t FROM part",
     "type_names": r"""
         SELECT DISTINCT custom_activity_type_id, custom_activity_type_name FROM (
           SELECT unnest(regexp_extract_all(t, '''id'': ''(actitype_[^'']+)''[^}]*?''name'': ''([^'']*)''', 1)) AS custom_activity_type_id,

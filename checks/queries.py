@@ -27,6 +27,7 @@ from funnelry.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+MODELS: dict[str, Callable[[Crm], DataFrame]] = {}
 
 LOAD_TS = crm.LOADS[1]
 ROLE_FIELDS = {
@@ -36,10 +37,20 @@ ROLE_FIELDS = {
 
 
 class Crm:
-    """The layers a query needs, built from the driver tables on first use."""
+    """The layers a query needs, built from the driver tables on first use.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``landed`` gives raw tables that are stored already, by name.
+    """
+
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, landed: dict[str, DataFrame] | None = None
+    ):
         self.spark, self.sf_dir = spark, sf_dir
+        self.landed = landed or {}
+
+    def raw(self, name: str) -> DataFrame:
+        found = self.landed.get(name)
+        return crm.RAW_TABLES[name](self.spark, self.sf_dir) if found is None else found
 
     def table(self, name: str) -> DataFrame:
         return crm.read(self.spark, self.sf_dir, name)
@@ -66,7 +77,7 @@ class Crm:
 
     @cached_property
     def activities_raw(self) -> DataFrame:
-        return crm.lead_activities_raw(self.spark, self.sf_dir)
+        return self.raw("lead_activities_raw")
 
     @cached_property
     def wrappers(self) -> DataFrame:
@@ -96,11 +107,11 @@ class Crm:
 
     @cached_property
     def leads(self) -> DataFrame:
-        return bronze.stage_leads(crm.leads_raw(self.spark, self.sf_dir))
+        return bronze.stage_leads(self.raw("leads_raw"))
 
     @cached_property
     def staged_users(self) -> DataFrame:
-        return bronze.stage_users(crm.users_raw(self.spark, self.sf_dir))
+        return bronze.stage_users(self.raw("close_crm_users_raw"))
 
     @cached_property
     def users(self) -> DataFrame:
@@ -108,7 +119,7 @@ class Crm:
 
     @cached_property
     def metadata(self) -> DataFrame:
-        return bronze.stage_custom_activities(crm.custom_activities_raw(self.spark, self.sf_dir))
+        return bronze.stage_custom_activities(self.raw("custom_activities_raw"))
 
     def inbound(self, paths: DataFrame | None = None) -> DataFrame:
         return reports.rpt_inbound_setter(
@@ -138,6 +149,7 @@ def portable(df: DataFrame) -> DataFrame:
 
 def query(name: str, oracle: str | None = None):
     def register(function: Callable[[Crm], DataFrame]):
+        MODELS[name] = function
         QUERIES[name] = lambda spark, sf_dir: portable(function(Crm(spark, sf_dir)))
         if oracle is not None:
             ORACLE[name] = sql(oracle)
@@ -775,8 +787,8 @@ def flatten_multiselect(c: Crm) -> DataFrame:
 def json_shape_profile(c: Crm) -> DataFrame:
     tables = {
         "lead_activities_raw": (c.activities_raw, "data"),
-        "close_crm_users_raw": (crm.users_raw(c.spark, c.sf_dir), "JSON_OBJECT"),
-        "leads_raw": (crm.leads_raw(c.spark, c.sf_dir), None),
+        "close_crm_users_raw": (c.raw("close_crm_users_raw"), "JSON_OBJECT"),
+        "leads_raw": (c.raw("leads_raw"), None),
     }
     return profile.json_shape_profile(tables)
 
@@ -805,7 +817,7 @@ def json_types(c: Crm) -> DataFrame:
        FROM lead_rows ORDER BY insert_date, source_file_name, source_row_number LIMIT 5""",
 )
 def top_level_keys(c: Crm) -> DataFrame:
-    keys = profile.top_level_keys(crm.leads_raw(c.spark, c.sf_dir), "leads_raw")
+    keys = profile.top_level_keys(c.raw("leads_raw"), "leads_raw")
     return keys.withColumn("top_level_keys", F.array_join("top_level_keys", ","))
 
 
@@ -1991,4 +2003,4 @@ def stream_keep_latest(c: Crm) -> DataFrame:
     return incremental.read_latest(c.spark, f"{base}/out")
 
 
-__all__ = ["CTES", "ORACLE", "QUERIES"]
+__all__ = ["CTES", "MODELS", "ORACLE", "QUERIES", "Crm"]

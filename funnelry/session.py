@@ -13,6 +13,9 @@ SETTINGS = {
     # rows; AQE then splits that key's partition instead of giving it to one task.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles methods above 8000 bytes of bytecode; wide projections over
+    # documents exceed that and run faster as several smaller generated methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Re-running a load replaces only the partitions it writes.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
