@@ -6,7 +6,7 @@ import sys
 import time
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from checks.queries import ORACLE, QUERIES
 
@@ -38,9 +38,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
-def difference(spark, connection, sf_dir: str, name: str) -> str | None:
+def difference(df: DataFrame, connection, name: str) -> str | None:
     """None if both engines agree, else what differs."""
-    df = QUERIES[name](spark, sf_dir)
     ours = rows_of(df.columns, df.collect())
     if name not in ORACLE:
         return None if ours else "no rows"
@@ -75,7 +74,7 @@ def main(sf_dir: str, names: list[str]) -> int:
     for name in names or QUERIES:
         start = time.time()
         try:
-            found = difference(spark, connection, sf_dir, name)
+            found = difference(QUERIES[name](spark, sf_dir), connection, name)
         except Exception as error:  # noqa: BLE001  (report and go on)
             found = f"{type(error).__name__}: {str(error)[:700]}"
         failed += found is not None

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from funnelry.sources.tables import stored
+
 #: Rows of one key that a single task may sort; keys above it take the split form.
 HEAVY_ROWS = 2_000_000
 #: Key lists up to this many rows are broadcast; longer ones are shuffled.
@@ -34,6 +36,7 @@ def split_heavy(
     found = heavy.limit(BROADCAST_KEYS + 1).count()
     if found == 0:
         return df, None
+    heavy = stored(heavy, "heavy_keys")  # read by both joins below
     keys = F.broadcast(heavy) if found <= BROADCAST_KEYS else heavy
     return df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi")
 

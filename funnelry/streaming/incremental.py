@@ -72,7 +72,9 @@ def keep_latest(
     The target is spread over ``buckets`` folders by key hash and written as numbered
     generations: a batch reads generation n, merges the buckets its keys fall in, and
     writes generation n + 1 of those buckets only. Readers take the newest generation of
-    each bucket, so a batch that fails half-way changes nothing.
+    each bucket, and a repeated batch replaces its own generation. A batch whose keys
+    fall in every bucket rewrites the table: without a merge-capable table format that
+    is the price of updates in place.
     """
     generations = f"{target}/generations"
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
@@ -84,7 +86,9 @@ def keep_latest(
         if current is not None:
             touched = F.broadcast(incoming.select("bucket").distinct())  # at most `buckets` rows
             both = incoming.unionByName(current.join(touched, "bucket", "left_semi"))
-        latest_by(both, keys, newest).drop(RANK).write.mode("overwrite").option(
+        merged = latest_by(both, keys, newest).drop(RANK)
+        # Rebalancing gathers each bucket into few files and splits a large bucket.
+        merged.hint("rebalance", "bucket").write.mode("overwrite").option(
             "partitionOverwriteMode", "static"
         ).partitionBy("bucket").parquet(f"{generations}/generation={batch_id}")
 
