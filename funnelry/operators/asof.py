@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from funnelry.operators.skew import HEAVY_ROWS, split_heavy
+from funnelry.operators.skew import HEAVY_ROWS, bounded_broadcast, split_heavy
+from funnelry.sources.tables import stored
 
-LANE = "_lane"
+LANE, SHARE, SHARES = "_lane", "_share", "_shares"
 _LANES = 4096
 
 
@@ -45,15 +46,36 @@ def next_in_window(
     return events.withColumn(into, F.min(_found(at, take, wanted)).over(later))
 
 
+def with_shares(events: DataFrame, key: str, at: str, event_id: str, max_rows: int) -> DataFrame:
+    """Numbers that divide the rows of an overcrowded instant among several tasks.
+
+    Instants with more than ``max_rows`` rows are fewer than rows / ``max_rows``; their
+    share counts are broadcast if that is few enough.
+    """
+    crowded = (
+        events.where(F.col(LANE) == 0)
+        .groupBy(key, at)
+        .agg(F.ceil(F.count("*") / max(max_rows, 1)).cast("int").alias(SHARES))
+        .where(F.col(SHARES) > 1)
+    )
+    known = bounded_broadcast(stored(crowded, "crowded_instants"))
+    counted = events.join(known, [key, at], "left")
+    shares = F.coalesce(F.col(SHARES), F.lit(1))
+    return counted.withColumn(SHARES, shares).withColumn(
+        SHARE, F.pmod(F.xxhash64(event_id), F.col(SHARES)).cast("int")
+    )
+
+
 def next_by_instant(
     events: DataFrame, key: str, at: str, wanted: Column, take: Sequence[str], into: str
 ) -> DataFrame:
-    """Same result for keys too large for one task.
+    """Same result for keys too large for one task; ``events`` is read twice.
 
     Rows of one instant share their match, so they are first combined to one row per
     (key, instant), on the map side. Those are solved per calendar minute (at most one
     row per microsecond) and, across minutes, on one row per minute; no window then
-    holds more than these bounds, however the rows are spread over time.
+    holds more than these bounds, however the rows are spread over time. Each share of a
+    crowded instant gets its own copy of the match to join.
     """
     day, clock = F.datediff(at, F.lit("1970-01-01")), F.hour(at) * 60 + F.minute(at)
     minute = (day.cast("bigint") * 1440 + clock).alias("_minute")
@@ -61,8 +83,8 @@ def next_by_instant(
     instants = (
         events.where(F.col(LANE) == 0)
         .groupBy(key, at)
-        .agg(F.min(_found(at, take, wanted)).alias("_own"))
-        .select(key, at, minute, "_own")
+        .agg(F.min(_found(at, take, wanted)).alias("_own"), F.max(SHARES).alias(SHARES))
+        .select(key, at, minute, SHARES, "_own")
         .withColumn("_near", F.min("_own").over(newest_first))
     )
     minutes = instants.groupBy(key, "_minute").agg(F.min("_own").alias("_own"))
@@ -76,9 +98,10 @@ def next_by_instant(
         key,
         at,
         F.lit(0).cast("bigint").alias(LANE),
+        F.explode(F.sequence(F.lit(0), F.col(SHARES) - 1)).alias(SHARE),
         F.coalesce("_near", "_far").alias(into),
     )
-    return events.join(matched, [key, at, LANE], "left")
+    return events.join(matched, [key, at, LANE, SHARE], "left")
 
 
 def first_at_or_after(
@@ -92,18 +115,19 @@ def first_at_or_after(
     """Adds, for each step ``(name, wanted, take)``, a struct of the first wanted row.
 
     Steps may take the result of an earlier step, which chains matches: a sale found for
-    a strategy call travels with that call. All steps share one partitioning and one sort.
-    ``events`` is read twice (key counts, then matching); pass a stored table.
+    a strategy call travels with that call. For ordinary keys all steps share one
+    partitioning and one sort. ``events`` is read twice (key counts, then matching);
+    pass a stored table.
     """
-    columns = events.columns
+    columns = [*events.columns, *[name for name, _, _ in steps]]
     lanes = with_lane(events, key, at, event_id)
     ordinary, heavy = split_heavy(lanes, key, max_rows)
-    result = None
-    for rows, match in ((ordinary, next_in_window), (heavy, next_by_instant)):
-        if rows is None:
-            continue
-        for name, wanted, take in steps:
-            rows = match(rows, key, at, wanted, [event_id, *take], name)
-        rows = rows.select(*columns, *[name for name, _, _ in steps])
-        result = rows if result is None else result.unionByName(rows)
-    return result
+    for name, wanted, take in steps:
+        ordinary = next_in_window(ordinary, key, at, wanted, [event_id, *take], name)
+    if heavy is None:
+        return ordinary.select(*columns)
+    heavy = with_shares(heavy, key, at, event_id, max_rows)
+    for name, wanted, take in steps:
+        heavy = stored(heavy, "heavy_rows")
+        heavy = next_by_instant(heavy, key, at, wanted, [event_id, *take], name)
+    return ordinary.select(*columns).unionByName(heavy.select(*columns))

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from funnelry.operators.asof import first_at_or_after
+from funnelry.operators.asof import first_at_or_after, with_lane, with_shares
 from funnelry.plans.gold import funnel_paths
 from tests.conftest import hours, plan_of
 
@@ -113,6 +113,19 @@ def test_agrees_with_brute_force_when_one_lead_holds_a_third(spark, max_rows):
     assert paths(spark, rows, max_rows=max_rows) == expected(rows)
 
 
+def test_rows_of_one_crowded_instant_are_shared_out(spark):
+    """A bulk import: most rows of the heavy lead carry the same time."""
+    rows = [("hot", f"i{n:03d}", "i", hours(0)) for n in range(200)]
+    rows += [("hot", "s1", "s", hours(0)), ("hot", "s2", "s", hours(1)), ("hot", "n1", "n", hours(5))]
+    rows += [("cold", "i900", "i", hours(0)), (None, "i901", "i", hours(0)), ("hot", "i902", "i", None)]
+    assert paths(spark, rows, max_rows=20) == expected(rows)
+    lanes = with_lane(events(spark, rows), "lead_id", "activity_at", "activity_id")
+    shared = with_shares(lanes, "lead_id", "activity_at", "activity_id", 20)
+    crowd = shared.where("lead_id = 'hot' AND activity_at IS NOT NULL")
+    largest = crowd.groupBy("activity_at", "_share").count().agg({"count": "max"}).first()[0]
+    assert crowd.select("_share").distinct().count() == 11 and largest < 60
+
+
 def test_shuffle_partitions_do_not_matter(spark):
     rng = random.Random(3)
     rows = [
