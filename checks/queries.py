@@ -91,6 +91,11 @@ class Crm:
     def events(self) -> DataFrame:
         return silver.custom_activity_events(self.activities)
 
+    @cached_property
+    def stored_events(self) -> DataFrame:
+        """For queries that read the events several times."""
+        return stored(self.events, "custom_activity_events")
+
     @cached_property
     def narrow(self) -> DataFrame:
         found = gold.latest_funnel_events(self.activities, self.types, self.field_map)
@@ -473,9 +478,10 @@ def dedup_latest(c: Crm) -> DataFrame:
 )
 def events_by_type(c: Crm) -> DataFrame:
     """Call, message, meeting and note tables, stacked."""
+    events = stored(silver.other_events(c.activities), "other_events")
     result = None
     for kind in silver.TYPE_FIELDS:
-        rows = silver.events_by_type(c.activities, kind).withColumn("activity_type", F.lit(kind))
+        rows = silver.events_by_type(events, kind).withColumn("activity_type", F.lit(kind))
         result = rows if result is None else result.unionByName(rows, allowMissingColumns=True)
     return result
 
@@ -1342,10 +1348,12 @@ def rpt_objections(c: Crm) -> DataFrame:
 def dq_column_tests(c: Crm) -> DataFrame:
     return quality.check_tables(
         {
-            "silver_custom_activity_events": c.events,
+            "silver_custom_activity_events": c.stored_events,
             "dim_user": c.users,
             "stg_bronze__leads_raw": c.leads,
-            "audit_unmapped_custom_activity_types": audit.unmapped_activity_types(c.events, c.types),
+            "audit_unmapped_custom_activity_types": audit.unmapped_activity_types(
+                c.stored_events, c.types
+            ),
             "custom_activity_type_map": c.types,
         }
     )
@@ -1768,10 +1776,23 @@ def assignment_coverage(c: Crm) -> DataFrame:
     return profile.assignment_coverage(c.events, c.users, ROLE_FIELDS)
 
 
-@query("schema_profile")
+PROFILED = ["events", "orders", "customer", "part"]
+
+
+@query(
+    "schema_profile",
+    "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, CAST(row_number() OVER () AS INTEGER) AS ordinal_position, column_name, "
+        f"\"null\" = 'YES' AS is_nullable, (SELECT count(*) FROM {t}) AS row_count "
+        f"FROM (DESCRIBE SELECT * FROM {t})"
+        for t in PROFILED
+    ),
+)
 def schema_profile(c: Crm) -> DataFrame:
-    names = ["events", "orders", "customer", "part"]
-    return profile.schema_profile({n: c.table(n) for n in names})
+    """Columns of the tables, with the rows each table has."""
+    tables = {n: c.table(n) for n in PROFILED}
+    counts = quality.row_counts(tables, "table_name")
+    return profile.schema_profile(tables).drop("data_type").join(counts, "table_name")
 
 
 # --- dashboard ----------------------------------------------------------------------

@@ -18,13 +18,11 @@ def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_KEYS) -> DataF
     return F.broadcast(small) if small.limit(max_rows + 1).count() <= max_rows else small
 
 
-def split_heavy(
-    df: DataFrame, key: str, max_rows: int = HEAVY_ROWS
-) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary keys, and rows of keys with more than ``max_rows`` rows (if any).
+def heavy_keys(df: DataFrame, key: str, max_rows: int = HEAVY_ROWS) -> DataFrame | None:
+    """Keys with more than ``max_rows`` rows, ready to join; None if there are none.
 
-    The count needs the key column only and combines on the map side. NULL keys stay
-    with the ordinary rows: callers never group by a NULL key.
+    There are fewer than rows / ``max_rows`` of them. The count needs the key column only
+    and combines on the map side; NULL keys are left out.
     """
     heavy = (
         df.where(F.col(key).isNotNull())
@@ -33,11 +31,21 @@ def split_heavy(
         .where(F.col("count") > max_rows)
         .select(key)
     )
-    found = heavy.limit(BROADCAST_KEYS + 1).count()
-    if found == 0:
+    if heavy.isEmpty():
+        return None
+    return bounded_broadcast(stored(heavy, "heavy_keys"))
+
+
+def split_heavy(
+    df: DataFrame, key: str, max_rows: int = HEAVY_ROWS
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary keys, and rows of heavy keys (if any).
+
+    NULL keys stay with the ordinary rows: callers never group by a NULL key.
+    """
+    keys = heavy_keys(df, key, max_rows)
+    if keys is None:
         return df, None
-    heavy = stored(heavy, "heavy_keys")  # read by both joins below
-    keys = F.broadcast(heavy) if found <= BROADCAST_KEYS else heavy
     return df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi")
 
 
@@ -46,13 +54,12 @@ def join_key_totals(
 ) -> DataFrame:
     """Left join of many rows to a table with one row per key, safe for heavy keys.
 
-    Heavy keys are few (rows / max_rows), so their totals are broadcast when their count
-    allows it and their rows never move; ordinary keys take a normal shuffle join.
+    The totals of heavy keys are few and are broadcast when their count allows it, so
+    rows of heavy keys never move; ordinary keys take a normal shuffle join.
     """
-    ordinary, heavy = split_heavy(rows, key, max_rows)
-    joined = ordinary.join(totals, key, "left")
-    if heavy is None:
-        return joined
-    heavy_keys = heavy.select(key).distinct()
-    heavy_totals = totals.join(bounded_broadcast(heavy_keys), key, "left_semi")
-    return joined.unionByName(heavy.join(bounded_broadcast(heavy_totals), key, "left"))
+    keys = heavy_keys(rows, key, max_rows)
+    if keys is None:
+        return rows.join(totals, key, "left")
+    few = bounded_broadcast(stored(totals.join(keys, key, "left_semi"), "heavy_totals"))
+    ordinary = rows.join(keys, key, "left_anti").join(totals, key, "left")
+    return ordinary.unionByName(rows.join(keys, key, "left_semi").join(few, key, "left"))

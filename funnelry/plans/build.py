@@ -56,6 +56,10 @@ def build(
         "silver", "silver_custom_activity_events", silver.custom_activity_events(activities)
     )
 
+    others = make("silver", "other_events", silver.other_events(activities))
+    for kind in silver.TYPE_FIELDS:
+        make("silver", f"{kind.lower()}_events", silver.events_by_type(others, kind))
+
     make(
         "audit",
         "audit_unmapped_custom_activity_types",

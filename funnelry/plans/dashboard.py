@@ -181,6 +181,7 @@ def tile_funnel(paths: DataFrame) -> DataFrame:
 
 # --- presentation -------------------------------------------------------------------
 
+# Report columns shown as percentages and as amounts.
 RATES = {
     "show_rate",
     "triage_set_rate",

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from funnelry.functions import documents, values
-from funnelry.operators.latest import latest_by
+from funnelry.operators.latest import RANK, latest_by
 from funnelry.schema import LINEAGE
 
 #: Newest first; the lineage columns settle what the two timestamps leave open.
@@ -58,18 +58,32 @@ def custom_activity_events(activities: DataFrame) -> DataFrame:
     return latest_by(custom, ["lead_id", "activity_id"], NEWEST + TIES)
 
 
-def events_by_type(activities: DataFrame, activity_type: str) -> DataFrame:
-    """Latest version of one other activity type with the fields that type carries."""
-    fields = [documents.text("activity", f).alias(f) for f in TYPE_FIELDS[activity_type]]
+def other_events(activities: DataFrame) -> DataFrame:
+    """Latest versions of calls, messages, meetings and notes, in one pass.
+
+    Each row has the fields of its own type; those of other types are NULL.
+    """
     columns = ["activity_id", "lead_id", "activity_at", "activity_updated_at", "user_id"]
-    rows = activities.where(F.col("activity_type") == activity_type).select(
-        *columns, *TIES, *fields
+    kind = F.col("activity_type")
+    found = []
+    for name in sorted({f for names in TYPE_FIELDS.values() for f in names}):
+        owners = [t for t, names in TYPE_FIELDS.items() if name in names]
+        found.append(F.when(kind.isin(owners), documents.text("activity", name)).alias(name))
+    rows = activities.where(kind.isin(list(TYPE_FIELDS))).select(
+        "activity_type", *columns, *TIES, *found
     )
-    latest = latest_by(rows, ["lead_id", "activity_id"], NEWEST + TIES)
-    return latest.select(*columns, *TYPE_FIELDS[activity_type])
+    latest = latest_by(rows, ["activity_type", "lead_id", "activity_id"], NEWEST + TIES)
+    return latest.drop(RANK, *TIES)
+
+
+def events_by_type(events: DataFrame, activity_type: str) -> DataFrame:
+    """One type's table out of :func:`other_events`."""
+    columns = ["activity_id", "lead_id", "activity_at", "activity_updated_at", "user_id"]
+    one = events.where(F.col("activity_type") == activity_type)
+    return one.select(*columns, *TYPE_FIELDS[activity_type])
 
 
-def repair_json(text: str) -> "F.Column":
+def repair_json(text: str | Column) -> Column:
     """Single-quoted object text rewritten as JSON and parsed; NULL if still unreadable."""
     quoted = F.regexp_replace(text, "'", '"')
     literals = (("None", "null"), ("True", "true"), ("False", "false"))

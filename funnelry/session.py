@@ -21,7 +21,33 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "funnelry", master: str | None = None, **extra: str) -> SparkSession:
+#: Shuffled bytes per reduce task: what an executor core sorts with little spilling.
+TASK_BYTES = 512 * 1024**2
+#: Beyond this many reduce tasks, shuffle blocks get too small and too many.
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def shuffle_partitions(shuffled_bytes: int) -> int:
+    """Reduce tasks for the largest shuffle of a run; AQE merges those that stay small.
+
+    The default of 200 would give each task hundreds of gigabytes of a 100 TB shuffle.
+    """
+    return min(max(200, -(-shuffled_bytes // TASK_BYTES)), MAX_SHUFFLE_PARTITIONS)
+
+
+def build_session(
+    app: str = "funnelry",
+    master: str | None = None,
+    shuffled_bytes: int | None = None,
+    **extra: str,
+) -> SparkSession:
+    """A session with the settings above; ``extra`` wins over them.
+
+    Give ``shuffled_bytes``, about the size of a run's activities, on large data.
+    """
+    if shuffled_bytes is not None:
+        partitions = str(shuffle_partitions(shuffled_bytes))
+        extra = {"spark.sql.shuffle.partitions": partitions, **extra}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

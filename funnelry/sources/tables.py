@@ -41,7 +41,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def database(layer: str, environment: str = "") -> str:
-    """Layer database of an environment: ``dbt_dev_gold`` for dev, ``gold`` without one."""
+    """Layer database of an environment: ``dev_gold`` for dev, ``gold`` without one."""
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}")
     return f"{environment}_{layer}" if environment else layer

@@ -108,3 +108,11 @@ def test_repair_json(spark):
     texts = ["{'a': None, 'b': True, 'c': [False, 'None']}", "{'a': 'b'", "{\"ok\": 1}"]
     found = column(spark, texts, lambda c: F.to_json(silver.repair_json(c)))
     assert found == ['{"a":null,"b":true,"c":[false,"None"]}', None, '{"ok":1}']
+
+
+def test_shuffle_partitions_follow_the_data():
+    from funnelry.session import shuffle_partitions
+
+    assert shuffle_partitions(10**9) == 200
+    assert shuffle_partitions(10**12) == 1863
+    assert shuffle_partitions(10**14) == 100_000

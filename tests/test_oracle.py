@@ -38,4 +38,13 @@ def test_entry_points_cover_each_other():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(QUERIES) - set(ORACLE) == {"schema_profile"}
+    assert set(QUERIES) == set(ORACLE)
+
+
+@pytest.mark.parametrize(
+    "name", ["asof_first_after", "asof_heavy_keys", "fact_lead_funnel", "fact_lead_funnel_heavy"]
+)
+def test_matching_on_larger_tables(spark, name):
+    """Wrong plans for ordered matching have passed on small tables before."""
+    larger = "/root/testdata/sf0.1"
+    assert difference(QUERIES[name](spark, larger), duck(larger), name) is None
