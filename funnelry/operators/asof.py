@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from funnelry.operators.skew import HEAVY_ROWS, bounded_broadcast, split_heavy
 from funnelry.sources.tables import stored
@@ -66,6 +67,15 @@ def with_shares(events: DataFrame, key: str, at: str, event_id: str, max_rows: i
     )
 
 
+def _minute(events: DataFrame, at: str) -> Column:
+    """Running number of the minute, in time order whatever the session's zone."""
+    if isinstance(events.schema[at].dataType, T.TimestampType):
+        return F.floor(F.unix_seconds(at) / 60)
+    # Wall-clock parts: a cast to an instant would fold minutes around clock changes.
+    days = F.datediff(at, F.lit("1970-01-01")).cast("bigint")
+    return days * 1440 + F.hour(at) * 60 + F.minute(at)
+
+
 def next_by_instant(
     events: DataFrame, key: str, at: str, wanted: Column, take: Sequence[str], into: str
 ) -> DataFrame:
@@ -77,14 +87,12 @@ def next_by_instant(
     holds more than these bounds, however the rows are spread over time. Each share of a
     crowded instant gets its own copy of the match to join.
     """
-    day, clock = F.datediff(at, F.lit("1970-01-01")), F.hour(at) * 60 + F.minute(at)
-    minute = (day.cast("bigint") * 1440 + clock).alias("_minute")
     newest_first = Window.partitionBy(key, "_minute").orderBy(F.col(at).desc())
     instants = (
         events.where(F.col(LANE) == 0)
         .groupBy(key, at)
         .agg(F.min(_found(at, take, wanted)).alias("_own"), F.max(SHARES).alias(SHARES))
-        .select(key, at, minute, SHARES, "_own")
+        .select(key, at, _minute(events, at).alias("_minute"), SHARES, "_own")
         .withColumn("_near", F.min("_own").over(newest_first))
     )
     minutes = instants.groupBy(key, "_minute").agg(F.min("_own").alias("_own"))

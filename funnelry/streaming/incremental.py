@@ -19,17 +19,21 @@ def land_new_files(
     checkpoint: str,
     load_ts: dt.datetime,
     archive: str | None = None,
+    files_per_batch: int | None = None,
 ) -> None:
     """Appends the rows of new files to a raw table, then stops.
 
     The checkpoint is the list of processed files. Each batch owns one ``batch_id``
     folder and overwrites it, so a batch repeated after a failure adds nothing twice. A
-    malformed line fails the run before its batch is committed. With ``archive``, files
+    malformed line fails the run before its batch is committed. ``files_per_batch``
+    breaks a backlog into batches that are committed one by one. With ``archive``, files
     of finished batches are moved there.
     """
     stream = spark.readStream.option("recursiveFileLookup", True)
     if archive:
         stream = stream.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    if files_per_batch:
+        stream = stream.option("maxFilesPerTrigger", files_per_batch)
     lines = landing.file_lines(stream.text(source))
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -169,3 +169,25 @@ def test_one_heavy_lead_is_linear(spark):
     wrong = matched.where(F.col("found.id") != expected_id)
     assert wrong.isEmpty()
     assert matched.where("found is null").count() == 999
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_heavy_form_across_a_clock_change(spark, kind):
+    """Minutes stay in time order where New York clocks go back and forth."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for start in (1_762_060_000, 1_772_950_000):  # around November and March changes
+            rows = spark.range(0, 400).select(
+                F.lit("k").alias("k"),
+                "id",
+                F.timestamp_seconds(F.lit(start) + F.col("id") * 53).cast(kind).alias("at"),
+            )
+            step = ("found", F.col("id") % 7 == 0, [])
+            split = first_at_or_after(rows, "k", "at", "id", [step], max_rows=0)
+            whole = first_at_or_after(rows, "k", "at", "id", [step])
+            columns = ["id", "found.id"]
+            assert sorted(map(str, split.select(columns).collect())) == sorted(
+                map(str, whole.select(columns).collect())
+            )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -171,3 +171,14 @@ def test_streaming_latest_keeps_one_version_per_key(spark, tmp_path):
         )
     found = {r.k: r.v for r in incremental.read_latest(spark, str(tmp_path / "out")).collect()}
     assert found == {"a": 2, "b": 1, "c": 4}
+
+
+def test_backlog_in_several_batches(spark, tmp_path):
+    for n in range(5):
+        write(tmp_path / "in", f"f{n}.jsonl", [{"n": n}, {"n": n}])
+    incremental.land_new_files(
+        spark, str(tmp_path / "in"), str(tmp_path / "raw"), str(tmp_path / "cp"), NOW, files_per_batch=2
+    )
+    raw = incremental.read_raw_table(spark, str(tmp_path / "raw"))
+    assert raw.count() == 10 and raw.select("batch_id").distinct().count() == 3
+    assert {r.source_row_number for r in raw.collect()} == {1, 2}
