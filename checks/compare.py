@@ -52,7 +52,10 @@ def difference(df: DataFrame, connection, name: str) -> str | None:
         return None
     ours_only = [r for r in ours if r not in set(theirs)][:3]
     theirs_only = [r for r in theirs if r not in set(ours)][:3]
-    return f"{len(ours)} rows != {len(theirs)}; {sorted(columns)}\n  ours {ours_only}\n  theirs {theirs_only}"
+    return (
+        f"{len(ours)} rows != {len(theirs)}; {sorted(columns)}\n"
+        f"  ours {ours_only}\n  theirs {theirs_only}"
+    )
 
 
 def main(sf_dir: str, names: list[str]) -> int:
@@ -78,7 +81,8 @@ def main(sf_dir: str, names: list[str]) -> int:
         except Exception as error:  # noqa: BLE001  (report and go on)
             found = f"{type(error).__name__}: {str(error)[:700]}"
         failed += found is not None
-        print(f"{'FAIL' if found else 'ok'} {name} {time.time() - start:.1f}s {found or ''}", flush=True)
+        status, took = "FAIL" if found else "ok", time.time() - start
+        print(f"{status} {name} {took:.1f}s {found or ''}", flush=True)
     print(f"{failed} failed")
     return failed
 

@@ -709,13 +709,14 @@ def full_name(c: Crm) -> DataFrame:
 
 @query(
     "string_fns",
-    """SELECT doc_id, lower(left(text, 500)) AS sample, replace(source, 'e', '') AS short_source,
+    """SELECT doc_id, md5(lower(text)) AS lowered_hash, left(text, 500) AS sample, replace(source, 'e', '') AS short_source,
               lang || '|' || source AS both_names, length(trim(text)) AS trimmed_length FROM documents""",
 )
 def string_fns(c: Crm) -> DataFrame:
     return c.table("documents").select(
         "doc_id",
-        F.lower(F.left("text", F.lit(500))).alias("sample"),
+        F.md5(F.lower("text")).alias("lowered_hash"),
+        F.left("text", F.lit(500)).alias("sample"),
         F.replace("source", F.lit("e"), F.lit("")).alias("short_source"),
         F.concat("lang", F.lit("|"), "source").alias("both_names"),
         F.length(F.trim("text")).cast("bigint").alias("trimmed_length"),

@@ -30,7 +30,8 @@ def stage_leads(raw: DataFrame) -> DataFrame:
 
 def stage_lead_activities(raw: DataFrame) -> DataFrame:
     """Wrapper rows with their activity array exposed."""
-    return raw.select("raw_data", documents.part("raw_data", "data").alias("activity_data"), *LINEAGE)
+    data = documents.part("raw_data", "data")
+    return raw.select("raw_data", data.alias("activity_data"), *LINEAGE)
 
 
 def _stage_object_text(raw: DataFrame) -> DataFrame:

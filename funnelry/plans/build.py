@@ -51,7 +51,9 @@ def build(
         bronze.stage_users(raw["close_crm_users_raw"]),
     )
 
-    activities = make("silver", "silver_activities", silver.silver_activities(wrappers), "load_date")
+    activities = make(
+        "silver", "silver_activities", silver.silver_activities(wrappers), "load_date"
+    )
     events = make(
         "silver", "silver_custom_activity_events", silver.custom_activity_events(activities)
     )

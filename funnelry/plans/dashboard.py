@@ -85,8 +85,9 @@ def executive_kpis(inbound: DataFrame, outbound: DataFrame, closer: DataFrame) -
 
 def top_objections(objections: DataFrame, rows: int = 10) -> DataFrame:
     """Largest date and category rows; dates are not merged."""
-    order = [F.desc("objection_count"), F.desc_nulls_last("report_date"), F.asc("objection_category")]
-    return objections.orderBy(*order).limit(rows)
+    return objections.orderBy(
+        F.desc("objection_count"), F.desc_nulls_last("report_date"), F.asc("objection_category")
+    ).limit(rows)
 
 
 def top_objection(objections: DataFrame) -> DataFrame:

@@ -25,6 +25,9 @@ TEXT_FIELDS = [
 MONEY_FIELDS = ["contract_value", "cash_collected"]
 ROLE_FIELDS = ["setter_user_id", "closer_user_id"]
 
+#: Settles versions of leads and users with the same update time, latest delivery first.
+LOAD_ORDER = ["insert_date", "load_date", "source_file_name", "source_row_number"]
+
 # Fixed patterns: how user metadata is written in the delivered object text.
 USER_OBJECT = r"\{[^{}]*'id': 'user_[^']+'[^{}]*\}"
 USER_ID = r"'id': '([^']+)'"
@@ -36,8 +39,7 @@ USER_FIELD = "'{name}': '([^']*)'"
 
 def dim_lead(staged: DataFrame) -> DataFrame:
     known = staged.where(F.col("lead_id").isNotNull())
-    newest = ["lead_updated_at", "insert_date", "load_date", "source_file_name", "source_row_number"]
-    return latest_by(known, ["lead_id"], newest).drop(RANK)
+    return latest_by(known, ["lead_id"], ["lead_updated_at", *LOAD_ORDER]).drop(RANK)
 
 
 def parse_users(staged: DataFrame) -> DataFrame:
@@ -62,8 +64,8 @@ def parse_users(staged: DataFrame) -> DataFrame:
 
 def dim_user(staged: DataFrame) -> DataFrame:
     users = parse_users(staged).where(F.col("user_id").isNotNull())
-    newest = ["user_updated_at", "insert_date", "load_date", "source_file_name", "source_row_number"]
-    latest = latest_by(users, ["user_id"], [*newest, "user_object_text"])
+    newest = ["user_updated_at", *LOAD_ORDER, "user_object_text"]
+    latest = latest_by(users, ["user_id"], newest)
     return latest.select(
         "user_id",
         "email",

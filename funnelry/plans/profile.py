@@ -38,7 +38,9 @@ def schema_profile(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def top_level_keys(raw: DataFrame, table: str, rows: int = 5, nested: str | None = None) -> DataFrame:
+def top_level_keys(
+    raw: DataFrame, table: str, rows: int = 5, nested: str | None = None
+) -> DataFrame:
     """Key list, document type and a short text sample of a few raw rows."""
     sample = raw.orderBy("insert_date", "source_file_name", "source_row_number").limit(rows)
     keys = F.array_sort(F.map_keys(documents.entries("raw_data")))
@@ -65,7 +67,9 @@ def json_shape_profile(raw_tables: dict[str, tuple[DataFrame, str | None]]) -> D
     """Row counts by document type and by type of one nested key."""
     shapes = None
     for table, (raw, nested) in raw_tables.items():
-        nested_type = documents.type_name(documents.part("raw_data", nested)) if nested else F.lit(None)
+        nested_type = F.lit(None)
+        if nested:
+            nested_type = documents.type_name(documents.part("raw_data", nested))
         counts = raw.groupBy(
             F.lit(table).alias("table_name"),
             documents.type_name("raw_data").alias("raw_data_type"),
@@ -341,7 +345,9 @@ def revenue_quality(events: DataFrame, types: list[str], ids: dict[str, str]) ->
     )
 
 
-def assignment_coverage(events: DataFrame, users: DataFrame, role_fields: dict[str, str]) -> DataFrame:
+def assignment_coverage(
+    events: DataFrame, users: DataFrame, role_fields: dict[str, str]
+) -> DataFrame:
     """User assignments per role and activity type, and how many name a known user."""
     columns = {role: fields.mapped_text("activity", [i]) for role, i in role_fields.items()}
     wide = events.select("custom_activity_type_id", *[c.alias(r) for r, c in columns.items()])

@@ -238,7 +238,9 @@ def reconcile_objections(report: DataFrame, paths: DataFrame) -> DataFrame:
         .where(F.trim("label") != "")
         .agg(
             F.count("*").alias("flattened_objection_count"),
-            F.countDistinct("strategy_activity_id").alias("distinct_strategy_calls_with_objections"),
+            F.countDistinct("strategy_activity_id").alias(
+                "distinct_strategy_calls_with_objections"
+            ),
         )
     )
     by_date = report.groupBy("report_date").agg(

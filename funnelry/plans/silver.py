@@ -30,9 +30,8 @@ def flatten_array(rows: DataFrame, array: str, index: str, item: str) -> DataFra
 
 def silver_activities(staged: DataFrame) -> DataFrame:
     """One row per delivered activity, repeated deliveries included."""
-    flat = flatten_array(
-        staged.select("activity_data", *LINEAGE), "activity_data", "activity_array_index", "activity"
-    )
+    wrappers = staged.select("activity_data", *LINEAGE)
+    flat = flatten_array(wrappers, "activity_data", "activity_array_index", "activity")
 
     def text(key: str):
         return documents.text("activity", key)
