@@ -50,8 +50,8 @@ def difference(df: DataFrame, connection, name: str) -> str | None:
         return f"columns {sorted(df.columns)} != {sorted(columns)}"
     if ours == theirs:
         return None
-    ours_only = [r for r in ours if r not in set(theirs)][:3]
-    theirs_only = [r for r in theirs if r not in set(ours)][:3]
+    ours_only = sorted(set(ours) - set(theirs), key=repr)[:3]
+    theirs_only = sorted(set(theirs) - set(ours), key=repr)[:3]
     return (
         f"{len(ours)} rows != {len(theirs)}; {sorted(columns)}\n"
         f"  ours {ours_only}\n  theirs {theirs_only}"

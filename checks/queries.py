@@ -874,7 +874,7 @@ def dynamic_field_extract(c: Crm) -> DataFrame:
          SELECT a.activity_id, m.canonical_field_name FROM custom a
          LEFT JOIN (SELECT f.activity_id, f.lead_id, x.canonical_field_name FROM field_rows f
                     JOIN fields x ON x.custom_field_id = f.custom_field_id AND x.is_active) m
-           ON a.activity_id = m.activity_id AND a.lead_id = m.lead_id) GROUP BY ALL""",
+           ON a.activity_id = m.activity_id AND a.lead_id IS NOT DISTINCT FROM m.lead_id) GROUP BY ALL""",
 )
 def join_key_presence(c: Crm) -> DataFrame:
     """Each event with every mapped field it holds; bare events stay, with NULL."""
@@ -1333,9 +1333,9 @@ def rpt_objections(c: Crm) -> DataFrame:
                           count(*) FILTER (WHERE custom_activity_type_id IS NULL) FROM custom
          UNION ALL SELECT 'silver_custom_activity_events', 'row_number_latest', 'not_null', 0
          UNION ALL SELECT 'silver_custom_activity_events', 'activity', 'not_null', 0
-         UNION ALL SELECT 'dim_user', 'user_id', 'not_null', 0
-         UNION ALL SELECT 'dim_user', 'user_id', 'unique', 0
-         UNION ALL SELECT 'stg_bronze__leads_raw', 'lead_id', 'not_null', 0
+         UNION ALL SELECT 'dim_user', 'user_id', 'not_null', count(*) FILTER (WHERE user_id IS NULL) FROM users
+         UNION ALL SELECT 'dim_user', 'user_id', 'unique', count(*) - count(DISTINCT user_id) FROM users
+         UNION ALL SELECT 'stg_bronze__leads_raw', 'lead_id', 'not_null', count(*) FILTER (WHERE lead_id IS NULL) FROM lead_rows
          UNION ALL SELECT 'stg_bronze__leads_raw', 'source_file_name', 'not_null', 0
          UNION ALL SELECT 'stg_bronze__leads_raw', 'source_row_number', 'not_null', 0
          UNION ALL SELECT 'stg_bronze__leads_raw', 'raw_data', 'not_null', 0
@@ -1362,11 +1362,12 @@ def dq_column_tests(c: Crm) -> DataFrame:
 
 @query(
     "dq_fact_unique",
-    """SELECT 'fact_lead_funnel' AS table_name, c AS column_name, t AS test_name,
-              CASE WHEN c = 'lead_id' THEN n ELSE 0 END AS failures
-       FROM (SELECT count(*) FILTER (WHERE lead_id IS NULL) AS n FROM fact),
-            (VALUES ('lead_funnel_id', 'not_null'), ('lead_id', 'not_null'), ('initial_activity_id', 'not_null'),
-                    ('lead_funnel_id', 'unique')) k(c, t)""",
+    """SELECT 'fact_lead_funnel' AS table_name, c AS column_name, t AS test_name, n AS failures FROM (
+         SELECT 'lead_funnel_id' AS c, 'not_null' AS t, count(*) FILTER (WHERE lead_funnel_id IS NULL) AS n FROM fact
+         UNION ALL SELECT 'lead_id', 'not_null', count(*) FILTER (WHERE lead_id IS NULL) FROM fact
+         UNION ALL SELECT 'initial_activity_id', 'not_null', count(*) FILTER (WHERE initial_activity_id IS NULL) FROM fact
+         UNION ALL SELECT 'lead_funnel_id', 'unique', count(*) FROM (SELECT lead_funnel_id FROM fact
+                          WHERE lead_funnel_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1))""",
 )
 def dq_fact_unique(c: Crm) -> DataFrame:
     return quality.check_tables({"fact_lead_funnel": c.paths})
