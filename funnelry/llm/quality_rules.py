@@ -59,7 +59,7 @@ RULES = [
     Rule("symbols", "n_symbols", per="n_words", most=10),
     Rule("exclamations", "n_exclamations", per="n_words", most=30),
     Rule("stop_words", "n_stop_words", per="n_words", least=2),
-    Rule("repeated_lines", "n_dup_lines", per="n_lines", most=30),
+    Rule("repeated_lines", "n_dup_lines", per="n_lines", most=50),
 ]
 
 
@@ -108,7 +108,7 @@ def measures(text: str) -> Column:
         "named_struct('n_lines', cast(size(l) as long), "
         "'n_dup_lines', cast(size(l) - size(array_distinct(l)) as long))"
     )
-    spaceless = f"length(translate({text}, ' \\t\\n\\u000B\\f\\r', ''))"
+    spaceless = f"length(translate({text}, ' \\t\\n\\u000B\\u000C\\r', ''))"
     symbol_free = f"length(translate({text}, '#*$%&|<>', ''))"
     calm = f"length(translate({text}, '!', ''))"
     counted = F.struct(

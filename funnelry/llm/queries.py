@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from funnelry.llm.bpe import decode_column, encode_column
 from funnelry.llm.mixing import measured, mix_sources
+from funnelry.llm.private_spans import KINDS, find_private
 from funnelry.llm.quality_rules import quality_rules
 from funnelry.llm.shard_tree import regular_tree, shard_rows
+from funnelry.llm.url_globs import judge_urls
 from funnelry.sources.tables import stored
 
 SHARDS = 24
@@ -27,6 +31,48 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_bpe(
+    spark: SparkSession,
+    sf_dir: str,
+    path: str = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+    pattern: str = public_tokenizers.PATTERN,
+) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = documents.select(
+        "doc_id", encode_column(spark, F.col("text"), path, pattern).alias("ids")
+    )
+    decoded = encoded.withColumn("raw", decode_column(spark, F.col("ids"), path, pattern))
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("raw", 256).alias("decoded_sha256"),
+    )
+
+
+def _written(spans: Column) -> Column:
+    parts = F.transform(
+        spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"])
+    )
+    return F.array_join(parts, ",")
+
+
+def op7_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = documents.select("doc_id", find_private(F.col("text")).alias("all"))
+    split = found.withColumn("plain", F.filter("all", lambda x: x["base"]))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("plain", lambda x: x["kind"] == kind)).cast("long")
+
+    return split.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(_written(F.col("plain")).cast("binary"), 256).alias("base_sha256"),
+        _written(F.col("all")).alias("spans"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality_rules(documents)
@@ -52,8 +98,16 @@ def op9_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_url_globs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return pages.select("page_id", judge_urls(F.col("url")).alias("x")).select("page_id", "x.*")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
+    "op4_bpe": op4_bpe,
+    "op7_private_spans": op7_private_spans,
     "op8_quality_rules": op8_quality_rules,
     "op9_shard_tree": op9_shard_tree,
+    "op10_url_globs": op10_url_globs,
 }

@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Characters that count as symbols rather than text.
 SYMBOLS = "#*$%&|<>"
 
 
-@F.pandas_udf("size long, symbols long")
+@F.pandas_udf(T.StructType().add("size", T.LongType()).add("symbols", T.LongType()))
 def sizes(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """Words (runs of other than space and U+0009 to U+000D) and symbols; 0 for null."""
     for batch in texts:
