@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelry.llm.bpe import decode_column, encode_column
+from funnelry.llm.jaccard_join import jaccard_components
 from funnelry.llm.mixing import measured, mix_sources
 from funnelry.llm.private_spans import KINDS, find_private
 from funnelry.llm.quality_rules import quality_rules
@@ -50,6 +51,10 @@ def op4_bpe(
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def _written(spans: Column) -> Column:
     parts = F.transform(
         spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"])
@@ -106,6 +111,7 @@ def op10_url_globs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op4_bpe": op4_bpe,
+    "op5_jaccard_join": op5_jaccard_join,
     "op7_private_spans": op7_private_spans,
     "op8_quality_rules": op8_quality_rules,
     "op9_shard_tree": op9_shard_tree,
