@@ -44,11 +44,11 @@ WORDS, NUM, DEN = 5, 75, 100
 SKETCH_BITS, MAP_BITS, SLICE_BITS = 24, 24, 18
 #: A token's list is split where the sketch counts more than this.
 LIST_ROWS = 100_000
-#: Leaders of a list and partners of a node that are verified in one turn.
-LEADERS, PARTNERS = 3, 3
+#: Leaders of a list, and partners of a node, in the first turn and in later ones.
+LEADERS, MORE_LEADERS = 3, 12
 #: Another turn follows while more pairs than this are left for each row of the lists, and
 #: the last turn left less than this share of those before it.
-PAIRS_LEFT, WORTH = 2, 0.8
+PAIRS_LEFT, WORTH = 2, 0.9
 #: Early tokens of a set that keep a pair from being made at each common token.
 FIRST = 12
 _SEEN = 100_000
@@ -425,13 +425,14 @@ def _led(live: DataFrame, turn: int) -> DataFrame:
     split, otherwise each turn. Two linked sets share so many prefix tokens that their
     overlap can suffice with all that comes after the prefix.
     """
+    many = MORE_LEADERS if turn else LEADERS
     order = F.xxhash64("node", F.lit(turn))
     part = F.pmod(order, F.col("parts"))
     lists = Window.partitionBy("token", "part").orderBy("order", "node")
     so_far = lists.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     leaders = [
         F.nth_value(F.struct("node", "n", "component"), k + 1).over(so_far)
-        for k in range(LEADERS)
+        for k in range(many)
     ]
     led = live.withColumns({"order": order, "part": part}).withColumn("led", F.array(*leaders))
     both = led.select("node", "n", "component", F.explode("led").alias("by"))
@@ -441,7 +442,7 @@ def _led(live: DataFrame, turn: int) -> DataFrame:
     most = F.col("c") + F.greatest(_after_prefix("n"), _after_prefix("m"))
     counted = counted.filter(_overlap_allows(F.least(most, "n", "m"), "n", "m"))
     best = Window.partitionBy("node").orderBy(F.desc("c"), "other")
-    ranked = counted.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= PARTNERS)
+    ranked = counted.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= many)
     pairs = ranked.select(
         F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
     )
