@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelry.llm.bpe import decode_column, encode_column
+from funnelry.llm.crf_language import held_out, learn, predict_column
 from funnelry.llm.jaccard_join import jaccard_components
 from funnelry.llm.mixing import measured, mix_sources
 from funnelry.llm.private_spans import KINDS, find_private
 from funnelry.llm.quality_rules import quality_rules
 from funnelry.llm.shard_tree import regular_tree, shard_rows
+from funnelry.llm.topk import top_k
 from funnelry.llm.url_globs import judge_urls
 from funnelry.sources.tables import stored
 
@@ -24,6 +26,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    predicted = predict_column(learn(documents), documents, F.col("text"))
+    rows = documents.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), predicted.alias("x"))
+    return rows.select("doc_id", "held_out", "x.lang_pred", "x.score")
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     sized = stored(measured(documents).drop("text"), "sized")
@@ -32,6 +41,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", every=50)
+
+
 def op4_bpe(
     spark: SparkSession,
     sf_dir: str,
@@ -109,7 +122,9 @@ def op10_url_globs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_crf_language": op1_crf_language,
     "op2_mix_sources": op2_mix_sources,
+    "op3_top_k": op3_top_k,
     "op4_bpe": op4_bpe,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_private_spans": op7_private_spans,
