@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelry.llm.bpe import decode_column, encode_column
+from funnelry.llm.cotraining import quality_scores
 from funnelry.llm.crf_language import held_out, learn, predict_column
 from funnelry.llm.jaccard_join import jaccard_components
 from funnelry.llm.mixing import measured, mix_sources
@@ -68,6 +70,11 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, pages, labels = (_table(spark, sf_dir, x) for x in ("documents", "pages", "labels"))
+    return quality_scores(documents, pages, labels)
+
+
 def _written(spans: Column) -> Column:
     parts = F.transform(
         spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"])
@@ -121,14 +128,20 @@ def op10_url_globs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", judge_urls(F.col("url")).alias("x")).select("page_id", "x.*")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_crf_language": op1_crf_language,
     "op2_mix_sources": op2_mix_sources,
     "op3_top_k": op3_top_k,
     "op4_bpe": op4_bpe,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_cotraining": op6_cotraining,
     "op7_private_spans": op7_private_spans,
     "op8_quality_rules": op8_quality_rules,
     "op9_shard_tree": op9_shard_tree,
     "op10_url_globs": op10_url_globs,
+    "pipeline": pipeline,
 }
