@@ -8,7 +8,7 @@ whose sizes allow it, are verified, on the words themselves.
 The work is kept linear where many texts are alike:
 
 1. Equal sets are one class, and one node from there on.
-2. In each prefix token's list the nodes are paired with a few leaders. The pairs that share
+2. In each prefix token's list the nodes that share much are paired with a few leaders. The pairs that share
    most tokens, and enough of them, are verified; links make components. This is repeated
    with other leaders while it helps and far too many pairs remain.
 3. All other pairs of a list matter only if they lie in different components. Those are made
@@ -49,6 +49,8 @@ LEADERS, MORE_LEADERS = 3, 12
 #: Another turn follows while more pairs than this are left for each row of the lists, and
 #: the last turn left less than this share of those before it.
 PAIRS_LEFT, WORTH = 2, 0.9
+#: A node is heavy if it shares one token in so many with others.
+HEAVY = 10
 #: Early tokens of a set that keep a pair from being made at each common token.
 FIRST = 12
 _SEEN = 100_000
@@ -382,7 +384,8 @@ def _verify(pairs: DataFrame, payloads: DataFrame) -> DataFrame:
 
 def _components_of(links: DataFrame, payloads: DataFrame) -> DataFrame:
     """The component of each linked node that has a payload."""
-    of_digest = components(links).withColumnsRenamed({"node": "digest", "root": "component"})
+    of_digest = components(links).withColumnRenamed("node", "digest")
+    of_digest = of_digest.withColumn("component", F.xxhash64("root")).drop("root")
     of_node = payloads.select("node", "digest").join(of_digest, "digest")
     return of_node.groupBy("node").agg(F.min("component").alias("component"))
 
@@ -398,16 +401,26 @@ def _after_prefix(n: str) -> Column:
     return F.ceil(F.col(n).cast("long") * NUM / DEN) - 1
 
 
-def _live(lists: DataFrame, component: DataFrame | None) -> DataFrame:
-    """Members of the lists in which several components remain, with their component."""
-    own = F.col("node").cast("string").cast("binary")
-    if component is None:
-        return lists.withColumn("component", own)
+def _with_component(lists: DataFrame, component: DataFrame) -> DataFrame:
+    """The lists with each member's component; a node without links is its own."""
     members = lists.drop("component").join(component, "node", "left")
-    members = members.withColumn("component", F.coalesce("component", own))
+    return members.withColumn("component", F.coalesce("component", "node"))
+
+
+def _live(members: DataFrame) -> DataFrame:
+    """Members of the lists in which several components remain."""
     low, high = F.min("component").alias("low"), F.max("component").alias("high")
     several = members.groupBy("token").agg(low, high).filter("low != high").select("token")
-    return stored(members.join(several, "token"), "members")
+    return members.join(several, "token")
+
+
+def _heavy(lists: DataFrame) -> DataFrame:
+    """Lists of the nodes that share a good part of their tokens with some others.
+
+    Sets that share a few tokens by chance are left to the third step.
+    """
+    counts = lists.groupBy("node").agg(F.count(F.lit(1)).alias("k"), F.first("n").alias("of"))
+    return lists.join(counts.filter(F.col("k") * HEAVY >= F.col("of")).select("node"), "node")
 
 
 def _pairs_left(live: DataFrame) -> tuple[int, int]:
@@ -450,29 +463,31 @@ def _led(live: DataFrame, turn: int) -> DataFrame:
 
 
 def _across(live: DataFrame) -> DataFrame:
-    """All pairs of list members in different components that places and sizes allow.
+    """All pairs of list members in different components that places and counts allow.
 
-    A pair is made at the first token that both have, as far as the first few of each tell:
-    that token stands earlier in both sets than any other common one, so that it allows what
-    the others allow.
+    Two nodes cannot share more tokens than either has in these lists. A pair is made at the
+    first token that both have, as far as the first few of each tell: that token stands
+    earlier in both sets than any other common one, so that it allows what the others allow.
     """
+    counts = live.groupBy("node").agg(F.count(F.lit(1)).alias("k"))
     by_place = Window.partitionBy("node").orderBy("place", "token")
-    early = live.withColumn("k", F.row_number().over(by_place)).filter(F.col("k") <= FIRST)
-    early = early.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("k", "token"))).alias("e"))
+    heavy = _heavy(live).withColumn("at", F.row_number().over(by_place)).filter(F.col("at") <= FIRST)
+    early = heavy.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("e"))
     early = early.select("node", F.col("e.token").alias("early"))
-    left = live.join(early, "node").select(
-        "token", "node", "n", "component", "early", (F.col("n") - F.col("place")).alias("rest")
+    left = live.join(counts.join(early, "node", "left"), "node").select(
+        "token", "node", "n", "component", "k", "early", (F.col("n") - F.col("place")).alias("rest")
     )
-    left = stored(left, "members")
-    names = {"node": "b", "n": "m", "rest": "left", "component": "of", "early": "soon"}
+    names = {"node": "b", "n": "m", "rest": "left", "component": "of", "k": "h", "early": "soon"}
     right = left.withColumnsRenamed(names)
-    common = F.array_intersect("early", "soon")
+    shared = F.least("k", "h") + F.greatest(_after_prefix("n"), _after_prefix("m"))
+    most = F.least("rest", "left", shared).cast("long")
+    first = F.get(F.array_intersect("early", "soon"), F.lit(0)) == F.col("token")
     pairs = left.withColumnRenamed("node", "a").join(right, "token")
     pairs = pairs.filter(
         (F.col("a") < F.col("b"))
         & (F.col("component") != F.col("of"))
-        & _overlap_allows(F.least("rest", "left").cast("long"), "n", "m")
-        & F.coalesce(F.get(common, F.lit(0)) == F.col("token"), F.lit(True))
+        & _overlap_allows(most, "n", "m")
+        & F.coalesce(first, F.lit(True))
     )
     return stored(pairs.select("a", "b").distinct(), "pairs")
 
@@ -495,18 +510,20 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
         "sets",
     )
     lists = stored(_lists(texts, spark.sparkContext.broadcast(_sketch(rows))), "lists")
-    pairs = _led(_live(lists, None), 0)
-    payloads = _payloads_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), texts)
-    links = _verify(pairs, payloads)
-    live = _live(lists, _components_of(links, payloads))
-    payloads = _payloads_of(live.select("node"), texts)
+    heavy = stored(_heavy(lists).withColumn("component", F.col("node")), "heavy")
+    payloads = _payloads_of(heavy.select("node"), texts)
+    links = _verify(_led(heavy, 0), payloads)
+    component = _components_of(links, payloads)
+    live = stored(_live(_with_component(heavy, component)), "heavy")
     turn, before, (members, left) = 1, float("inf"), _pairs_left(live)
     while left > PAIRS_LEFT * members and left < WORTH * before:
         links = links.union(_verify(_led(live, turn), payloads))
-        live = _live(live, _components_of(links, payloads))
+        component = _components_of(links, payloads)
+        live = stored(_live(_with_component(live, component)), "heavy")
         turn, before, (members, left) = turn + 1, left, _pairs_left(live)
-    links = links.union(_verify(_across(live), payloads))
-    return _labelled(rows, links)
+    rest = _across(stored(_live(_with_component(lists, component)), "live"))
+    payloads = _payloads_of(rest.select(F.explode(F.array("a", "b")).alias("node")), texts)
+    return _labelled(rows, links.union(_verify(rest, payloads)))
 
 
 def _lists(texts: DataFrame, sketch) -> DataFrame:
