@@ -31,9 +31,8 @@ def heavy_keys(df: DataFrame, key: str, max_rows: int = HEAVY_ROWS) -> DataFrame
         .where(F.col("count") > max_rows)
         .select(key)
     )
-    if heavy.isEmpty():
-        return None
-    return bounded_broadcast(stored(heavy, "heavy_keys"))
+    heavy = stored(heavy, "heavy_keys")
+    return None if heavy.isEmpty() else bounded_broadcast(heavy)
 
 
 def split_heavy(

@@ -32,10 +32,11 @@ def number_rows(lines: DataFrame) -> DataFrame:
     ``lines`` must come straight from the scan (:func:`file_lines`), unfiltered.
 
     A task reads a split's lines in order and gives them consecutive ids, so a line's
-    number is its offset in the split plus the lines of the file's earlier splits. One
-    pass counts the lines of each split; the lines themselves never move.
+    number is its offset in the split plus the lines of the file's earlier splits. The
+    source is read once: how it is split may change from one scan to the next, so the
+    lines are stored with their splits, and these are counted from the stored table.
     """
-    lines = lines.withColumn("line_id", F.monotonically_increasing_id())
+    lines = stored(lines.withColumn("line_id", F.monotonically_increasing_id()), "lines")
     splits = lines.groupBy(*SPLIT).agg(
         F.min("line_id").alias("first_id"), F.count("*").alias("n_lines")
     )

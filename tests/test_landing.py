@@ -66,6 +66,20 @@ def test_row_numbers_of_split_files(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_no_line_is_lost_when_splits_change_before_the_run(spark, tmp_path):
+    write(tmp_path, "a.jsonl", [{"id": str(i), "pad": "x" * 100} for i in range(60_000)])
+    setting = "spark.sql.files.minPartitionNum"
+    try:
+        spark.conf.set(setting, "2")
+        raw = landing.read_landed(spark, str(tmp_path), NOW)
+        spark.conf.set(setting, "8")
+        rows = raw.select(documents.text("raw_data", "id").cast("long").alias("id"), "source_row_number")
+        assert rows.filter("source_row_number = id + 1").count() == 60_000
+        assert rows.count() == 60_000
+    finally:
+        spark.conf.unset(setting)
+
+
 def test_malformed_line_aborts_the_load(spark, tmp_path):
     write(tmp_path / "in", "a.jsonl", [{"id": "1"}, "{broken"])
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
