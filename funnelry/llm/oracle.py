@@ -1,5 +1,94 @@
-"""Oracle SQL of the registered queries, for DuckDB."""
+"""Oracle SQL of the registered queries that SQL can express, for DuckDB."""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from funnelry.llm.quality_rules import STOP_WORDS
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+OP3 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id
+  WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s
+)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
+"""
+
+OP8 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT r, doc_id, t, regexp_extract_all(t, '{_WORD}') AS w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS l
+  FROM d
+), g AS (
+  SELECT r, unnest(range(1, len(w) - 1)) AS i, w FROM w
+), c AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS n FROM g
+), p AS (
+  SELECT r, count(DISTINCT k) AS n
+  FROM (SELECT r, unnest([i, i + 1, i + 2]) AS k FROM c WHERE n > 1) GROUP BY r
+), m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    length(t) - length(replace(t, '!', '')) AS n_exclamations,
+    len(list_filter(w, lambda x: lower(x) IN ({", ".join(f"'{x}'" for x in STOP_WORDS)}))) AS n_stop,
+    len(l) AS n_lines,
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(p.n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN p USING (r)
+), b AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND n_words <= 1000000
+    AND 100 * word_chars BETWEEN 200 * n_words AND 1500 * n_words
+    AND 100 * n_symbols <= 10 * n_words AND 100 * n_exclamations <= 30 * n_words
+    AND 100 * n_stop >= 2 * n_words AND 100 * n_dup_lines <= 50 * n_lines AS kept
+FROM b
+"""
+
+OP10 = r"""
+WITH u AS (
+  SELECT page_id, coalesce(regexp_extract(url, '://([^/?#]*)', 1), '') AS h,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), x AS (
+  SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    path
+  FROM u
+), r AS (
+  SELECT *, CASE
+    WHEN ('.' || host) LIKE '%.www.example.com' AND path LIKE '/en/%' THEN 'www.example.com/en/'
+    WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/en/%' THEN 'example.com/en/'
+    WHEN ('.' || host) LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
+    WHEN ('.' || host) LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/'
+    WHEN ('.' || host) LIKE '%.com' AND path LIKE '/%' THEN 'com/' END AS rule
+  FROM x
+)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+  WHEN rule IS NOT NULL THEN 'block'
+  WHEN host LIKE '%casino%' OR host LIKE '%-bets.%' OR host LIKE '%cheap-pills%'
+    OR host LIKE '%spam-%' OR ('.' || host) LIKE '%.adult-%'
+    OR (('.' || host) LIKE '%.ads-%' AND path <> '')
+    OR path LIKE '/%/wp-login.php' OR path LIKE '/%.exe' THEN 'block'
+  ELSE 'allow' END AS verdict
+FROM r
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_top_k": OP3,
+    "op8_quality_rules": OP8,
+    "op10_url_globs": OP10,
+}
