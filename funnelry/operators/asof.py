@@ -12,17 +12,23 @@ from funnelry.operators.skew import HEAVY_ROWS, bounded_broadcast, split_heavy
 from funnelry.sources.tables import stored
 
 LANE, SHARE, SHARES = "_lane", "_share", "_shares"
-_LANES = 4096
 
 
 def with_lane(events: DataFrame, key: str, at: str, event_id: str) -> DataFrame:
     """Lane 0 for rows that can match, spread lanes for rows without key or time.
 
-    A NULL key or time never matches anything; spreading those rows by id keeps them
-    out of one single NULL group however many there are.
+    A NULL key or time never matches anything; spreading those rows by a hash of their
+    plain columns keeps them out of one single NULL group however many there are, and
+    whether or not they have an id.
     """
     placed = F.col(key).isNotNull() & F.col(at).isNotNull()
-    spread = 1 + F.pmod(F.xxhash64(event_id), F.lit(_LANES))
+    plain = [
+        f.name
+        for f in events.schema
+        if isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.VariantType)
+    ]
+    row = F.xxhash64(*dict.fromkeys([event_id, *plain]))
+    spread = F.when(row == 0, F.lit(1).cast("bigint")).otherwise(row)
     return events.withColumn(LANE, F.when(placed, F.lit(0).cast("bigint")).otherwise(spread))
 
 

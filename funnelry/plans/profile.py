@@ -199,14 +199,23 @@ def outcome_distribution(
     ``outcomes`` maps a field's display name to its activity type id and field id.
     """
     type_id = F.col("custom_activity_type_id")
-    name, value = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for field_name, (activity_type, field_id) in outcomes.items():
-        name = F.when(type_id == activity_type, F.lit(field_name)).otherwise(name)
-        text = values.blank_label(fields.mapped_text("activity", [field_id]))
-        value = F.when(type_id == activity_type, text).otherwise(value)
+    # An array of what the event's type has: several fields may be on one type.
+    counted = [
+        F.when(
+            type_id == activity_type,
+            F.struct(
+                F.lit(field_name).alias("field_name"),
+                values.blank_label(fields.mapped_text("activity", [field_id])).alias("field_value"),
+            ),
+        )
+        for field_name, (activity_type, field_id) in outcomes.items()
+    ]
     wanted = events.where(type_id.isin([t for t, _ in outcomes.values()]))
-    return wanted.groupBy(name.alias("field_name"), value.alias("field_value")).agg(
-        F.count("*").alias("record_count")
+    present = F.filter(F.array(*counted), lambda p: p.isNotNull())
+    return (
+        wanted.select(F.inline(present))
+        .groupBy("field_name", "field_value")
+        .agg(F.count("*").alias("record_count"))
     )
 
 
