@@ -255,6 +255,36 @@ def test_change_classes(spark):
     }
 
 
+def test_upsert_ties_and_null_keys(spark):
+    schema = "k string, v string, at timestamp_ntz, insert_date timestamp_ntz, update_date timestamp_ntz"
+    old = spark.createDataFrame(
+        [("a", "9", hours(5), hours(0), hours(0)), (None, "1", hours(1), hours(0), hours(0))], schema
+    )
+    new = spark.createDataFrame(
+        [
+            ("a", "1", hours(5), hours(9), hours(9)),
+            ("a", "1", hours(5), hours(8), hours(8)),
+            (None, "2", hours(2), hours(9), hours(9)),
+        ],
+        schema,
+    )
+    merged = changes.upsert_latest(old, new, ["k"], ["at"])
+    assert {tuple(r) for r in merged.select("k", "v", "insert_date", "update_date").collect()} == {
+        ("a", "1", hours(0), hours(9)),
+        (None, "2", hours(0), hours(9)),
+    }
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_change_classes_of_repeated_and_null_keys(spark):
+    schema = "k string, v string, n int"
+    before = spark.createDataFrame([("a", "1", 1), ("a", "2", 2), (None, "1", 1)], schema)
+    after = spark.createDataFrame([("a", "2", 1), ("a", "2", 1), (None, "3", 1)], schema)
+    found = changes.classify_changes(before, after, ["k"], ["v"], newest=["n"]).collect()
+    assert sorted((r.k or "", r.change_type) for r in found) == [("", "update"), ("a", "unchanged")]
+
+
 def test_heavy_keys_are_split_off_and_rejoined(spark):
     rows = spark.range(300).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 20)) AS k", "id")
     rows = rows.unionByName(spark.createDataFrame([(None, 1)], "k string, id long"))
