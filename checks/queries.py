@@ -120,7 +120,7 @@ class Crm:
 
     @cached_property
     def users(self) -> DataFrame:
-        return gold.dim_user(self.staged_users)
+        return stored(gold.dim_user(self.staged_users), "dim_user")
 
     @cached_property
     def metadata(self) -> DataFrame:
@@ -857,31 +857,52 @@ def json_repair(c: Crm) -> DataFrame:
 # --- dynamic fields and joins -------------------------------------------------------
 
 
-@query(
-    "dynamic_field_extract",
-    """SELECT activity_id, lead_id, triage_outcome, prospecting_outcome, strategy_outcome, offer_presented,
-              setter_field AS setter_user_id, closer_field AS closer_user_id FROM amounts""",
-)
+FIELD_TEXTS = """SELECT activity_id, lead_id, triage_outcome, prospecting_outcome, strategy_outcome, offer_presented,
+              setter_field AS setter_user_id, closer_field AS closer_user_id FROM amounts"""
+
+
+@query("dynamic_field_extract", FIELD_TEXTS)
 def dynamic_field_extract(c: Crm) -> DataFrame:
     names = [*gold.TEXT_FIELDS[:4], *gold.ROLE_FIELDS]
-    ids = fields.ids_by_name(c.field_map, names)
-    return c.events.select("activity_id", "lead_id", *fields.project_fields("activity", ids))
+    return fields.read_fields(c.events, "activity", ["activity_id", "lead_id"], c.field_map, names)
 
 
-@query(
-    "join_key_presence",
-    """SELECT activity_id, canonical_field_name, count(*) AS n FROM (
+def padded(c: Crm) -> DataFrame:
+    """The field mapping with so many more active rows that it is joined, not projected."""
+    more = c.spark.range(20_000).selectExpr(
+        "concat('cf_more_', id) AS custom_field_id", "'triage_outcome' AS canonical_field_name",
+        "true AS is_active",
+    )
+    return c.field_map.unionByName(more, allowMissingColumns=True)
+
+
+@query("large_mapping_extract", FIELD_TEXTS)
+def large_mapping_extract(c: Crm) -> DataFrame:
+    """The same fields through a mapping of 20,000 rows more."""
+    names, keep = [*gold.TEXT_FIELDS[:4], *gold.ROLE_FIELDS], ["activity_id", "lead_id"]
+    return fields.read_fields(c.events, "activity", keep, padded(c), names)
+
+
+FIELDS_HELD = """SELECT activity_id, canonical_field_name, count(*) AS n FROM (
          SELECT a.activity_id, m.canonical_field_name FROM custom a
          LEFT JOIN (SELECT f.activity_id, f.lead_id, x.canonical_field_name FROM field_rows f
                     JOIN fields x ON x.custom_field_id = f.custom_field_id AND x.is_active) m
-           ON a.activity_id = m.activity_id AND a.lead_id IS NOT DISTINCT FROM m.lead_id) GROUP BY ALL""",
-)
+           ON a.activity_id = m.activity_id AND a.lead_id IS NOT DISTINCT FROM m.lead_id) GROUP BY ALL"""
+
+
+@query("join_key_presence", FIELDS_HELD)
 def join_key_presence(c: Crm) -> DataFrame:
     """Each event with every mapped field it holds; bare events stay, with NULL."""
     long = fields.explode_mapped_fields(c.events, "activity", ["activity_id"], c.field_map)
     return long.groupBy("activity_id", "canonical_field_name").agg(F.count("*").alias("n"))
 
 
+@query("large_mapping_presence", FIELDS_HELD)
+def large_mapping_presence(c: Crm) -> DataFrame:
+    long = fields.explode_mapped_fields(c.events, "activity", ["activity_id"], padded(c))
+    return long.groupBy("activity_id", "canonical_field_name").agg(F.count("*").alias("n"))
+
+
 FUNNEL_TEXT = "triage_outcome, prospecting_outcome, strategy_outcome, offer_presented"
 
 

@@ -30,17 +30,31 @@ def unmapped_fields(events: DataFrame, field_map: DataFrame) -> DataFrame:
     )
 
 
-def observed_outcomes(events: DataFrame, field_map: DataFrame) -> DataFrame:
-    """One row per filled outcome field of an event, read in place from the document."""
-    outcomes = field_map.where(values.is_true("is_active") & (F.col("field_role") == "outcome"))
+def observed_outcomes(
+    events: DataFrame, field_map: DataFrame, max_rows: int = fields.LITERAL_ROWS
+) -> DataFrame:
+    """One row per filled outcome field of an event, read in place from the document.
+
+    A mapping too large for a projection is joined by key, with the same rows.
+    """
+    known = values.is_true("is_active") & (F.col("field_role") == "outcome")
+    outcomes = field_map.where(known & F.col("custom_field_id").isNotNull()).select(
+        "custom_field_id", F.col("custom_field_name").alias("name")
+    )
+    keep = ["custom_activity_type_id", "lead_id", "activity_id", "activity_at"]
+    rows = fields.mapping_rows(outcomes.orderBy("custom_field_id"), max_rows)
+    if rows is None:
+        numbered, found = fields.join_fields(events, "activity", keep, outcomes)
+        return numbered.join(found.where("text <> ''"), "_row").select(
+            *keep, F.col("name").alias("field_name"), F.col("text").alias("raw_value")
+        )
     pairs = [
         F.struct(
-            F.lit(row.custom_field_name).alias("field_name"),
+            F.lit(row.name).alias("field_name"),
             fields.mapped_text("activity", [row.custom_field_id]).alias("raw_value"),
         )
-        for row in fields.mapping_rows(outcomes.orderBy("custom_field_id"))
+        for row in rows
     ]
-    keep = ["custom_activity_type_id", "lead_id", "activity_id", "activity_at"]
     if not pairs:
         pairs = [F.lit(None).cast("struct<field_name:string,raw_value:string>")]
     filled = F.filter(F.array(*pairs), lambda p: p["raw_value"] != "")

@@ -132,12 +132,13 @@ EVENT_COLUMNS = [
 def business_fields(events: DataFrame, field_map: DataFrame, keep: list[str]) -> DataFrame:
     """Events reduced to ``keep`` and the text of their mapped business fields.
 
-    The fields are read in a projection: each event is one row already, so a long form
-    of events x fields and a pivot back would only shuffle the same rows again.
+    With a mapping of usual size the fields are read in a projection: each event is one row
+    already, so a long form and a pivot back would only shuffle the same rows again.
     """
-    ids = fields.ids_by_name(field_map, TEXT_FIELDS + MONEY_FIELDS + ROLE_FIELDS)
-    found = fields.project_fields("activity", ids, as_json=["objections_faced"])
-    return events.select(*keep, *found)
+    names = TEXT_FIELDS + MONEY_FIELDS + ROLE_FIELDS
+    return fields.read_fields(
+        events, "activity", keep, field_map, names, as_json=["objections_faced"]
+    )
 
 
 def _typed(wide: DataFrame, type_map: DataFrame, stages: list[str]) -> DataFrame:

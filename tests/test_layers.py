@@ -157,14 +157,20 @@ def test_projection_equals_long_form_and_pivot(spark, maps):
         ("c", "triage_outcome"),
     ]
     pivoted = gold.pivot_fields(long, ["activity_id"], names)
-    ids = fields.ids_by_name(known, names)
-    projected = events.select("activity_id", *fields.project_fields("activity", ids))
+    projected = fields.read_fields(events, "activity", ["activity_id"], known, names)
     assert sorted(pivoted.collect()) == sorted(projected.select(pivoted.columns).collect())
+    joined = fields.read_fields(events, "activity", ["activity_id"], known, names, max_rows=0)
+    assert sorted(pivoted.collect()) == sorted(joined.select(pivoted.columns).collect())
+    joined = fields.explode_mapped_fields(events, "activity", ["activity_id"], known, max_rows=0)
+    assert sorted(joined.collect(), key=str) == sorted(long.collect(), key=str)
 
 
-def test_large_mapping_is_refused(spark):
-    with pytest.raises(ValueError, match="more than 10 rows"):
-        fields.mapping_rows(spark.range(11), max_rows=10)
+def test_outcomes_of_any_mapping_size(spark, maps):
+    _, known = maps
+    staged = [activity("a", cf_o="ok"), activity("b", cf_o=""), activity("c", cf_o=None)]
+    events = silver.custom_activity_events(silver_of(spark, staged))
+    small, large = (audit.observed_outcomes(events, known, n).collect() for n in (1000, 0))
+    assert small == large and [r.raw_value for r in small] == ["ok"]
 
 
 def test_audits(spark, maps):
