@@ -8,17 +8,24 @@ from pyspark.sql import functions as F
 from funnelry.sources.tables import stored
 
 
+#: Rows of labels that one task writes; small edge lists take few tasks a round.
+TASK_ROWS = 1 << 20
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node`` and ``root`` (the smallest node of its component) of every node in an edge.
 
     Each round takes the smallest label among neighbours, then the label of that label, so
     rounds grow with the logarithm of the longest path. Each round's labels are written to
-    the shared folder. Nodes must not be null.
+    the shared folder, in as many files as there are edges for. ``edges`` is read twice: give
+    a stored table. Nodes must not be null.
     """
+    tasks = 1 + 2 * edges.count() // TASK_ROWS
     both = edges.select(F.col(a).alias("node"), F.col(b).alias("other"))
-    both = stored(both.union(both.select("other", "node")).distinct(), "edges")
+    both = stored(both.union(both.select("other", "node")).distinct().coalesce(tasks), "edges")
     first = both.groupBy("node").agg(F.min("other").alias("near"))
-    labels = stored(first.select("node", F.least("node", "near").alias("root")), "labels")
+    own = first.select("node", F.least("node", "near").alias("root"))
+    labels = stored(own.coalesce(tasks), "labels")
     while True:
         seen = labels.select(F.col("node").alias("other"), F.col("root").alias("near"))
         near = both.join(seen, "other").groupBy("node").agg(F.min("near").alias("near"))
@@ -29,7 +36,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         moved = stored(
             closer.join(roots, "next").select(
                 "node", F.least("next", "far").alias("root"), "before"
-            ),
+            ).coalesce(tasks),
             "labels",
         )
         labels = moved.select("node", "root")
