@@ -26,16 +26,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id.
+    """One row of each group: the one with the smallest id, then the smallest text.
 
-    Texts without words are linked to nothing and all stay; of rows that repeat the kept id
-    one stays. Rows without id are kept only where their group has no id.
+    Groups are of rows, whatever their ids: repeated and null ids are rows like others. A row
+    without id is kept only where its group has no id. Texts without words are linked to
+    nothing and all stay.
     """
-    found = jaccard_components(docs.select("doc_id", "text"))
-    # Ids that lost their group to a smaller one; what is left of an id is one group's.
-    lost = found.filter("component_id < doc_id").select("doc_id").distinct()
-    kept = docs.join(lost, "doc_id", "left_anti")
-    return kept.dropDuplicates(["doc_id", "text"])
+    keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    found = jaccard_components(keyed.select("_row", "text"), "_row").select(
+        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")
+    )
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.struct(F.col("doc_id").isNull().alias("_without"), "doc_id", "text", *rest)
+    first = keyed.join(found, "_row").groupBy("_group").agg(F.min(order).alias("_first"))
+    return first.select(*[F.col(f"_first.{c}").alias(c) for c in docs.columns])
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

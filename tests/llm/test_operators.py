@@ -405,3 +405,31 @@ def test_pipeline(spark, tmp_path):
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
     assert set(out.groupby("doc_id").size()) <= {1, 2} and set(out.doc_id) <= set(range(60))
     assert zlib.crc32(b"") == 0
+
+
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    rows = []
+    for _ in range(14):
+        base = [f"w{rng.randint(0, 3000)}" for _ in range(rng.randint(20, 60))]
+        for _ in range(rng.randint(1, 4)):
+            text = " ".join([*base, "more"][: len(base) + rng.randint(0, 1)])
+            rows.append((rng.choice([None, 1, 2, 3, 4, 5]), text, rng.choice(["s0", "s1", None])))
+    clean, copied = (" ".join(f"{x}{i}" for i in range(30)) for x in "yz")
+    rows += [(7, copied, "s0"), (9, copied + " more", "s0"), (9, clean, "s0")]
+    rows += [(None, "", "s0"), (None, None, "s0"), (8, " ", "s1"), (8, " ", "s1")]
+
+    # Groups of rows by brute force: the row's number stands for its id.
+    groups: dict = {}
+    for i, n, least in components_by_hand([(i, t) for i, (_, t, _) in enumerate(rows)]):
+        groups.setdefault(least if n else i, []).append(rows[i])
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or "", r[2] or "")
+    expected = sorted((min(g, key=key) for g in groups.values()), key=key)
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, df, "")
+    assert kept.columns == df.columns
+    got = sorted((tuple(r) for r in kept.collect()), key=key)
+    assert got == expected
+    assert (9, clean, "s0") in got and (9, copied + " more", "s0") not in got
