@@ -218,8 +218,8 @@ def rewrite(text: str) -> Rewritten | None:
 def private_spans(text: str | None) -> list[tuple[str, int, int, bool]]:
     """(kind, start, end, base) by start, then kind; code points, end exclusive.
 
-    ``base`` spans are matches in the text as it is. The others lie in rewritten parts and
-    overlap no base span of their kind.
+    ``base`` spans are matches in the text as it is. The others have rewritten parts and lie
+    within no base span of their kind; one that was disguised in part may overlap some.
     """
     if not text:
         return []
@@ -231,7 +231,7 @@ def private_spans(text: str | None) -> list[tuple[str, int, int, bool]]:
             if not out.changed[a:b].any():
                 continue
             start, end = int(out.starts[a]), int(out.ends[b - 1])
-            if not any(k == kind and s < end and start < e for k, s, e in base):
+            if not any(k == kind and s <= start and end <= e for k, s, e in base):
                 spans.append((start, kind, end, False))
     spans.sort()
     return [(KINDS[kind], start, end, plain) for start, kind, end, plain in spans]

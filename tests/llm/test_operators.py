@@ -264,6 +264,23 @@ def test_disguises(text, expected):
     assert not any(base for *_, base in found)
 
 
+PARTLY = [
+    ("email", "hn@example.com", "jоhn@example.com"),
+    ("email", "hn@example.com", "jo​hn@example.com"),
+    ("email", "john@example.c", "john@example.cоm"),
+    ("ip", "192.168.1.1", "192.168.1.1２"),
+    ("phone", "+1 (017) 555-771", "+1 (017) 555-771３"),
+]
+
+
+@pytest.mark.parametrize("kind, plain, whole", PARTLY)
+def test_disguised_in_part(kind, plain, whole):
+    text = f"so {whole}, then"
+    found = private_spans.private_spans(text)
+    assert {(k, text[a:b], base) for k, a, b, base in found} == {(kind, plain, True), (kind, whole, False)}
+    assert private_spans.redact(text, found) == f"so [{kind.upper()}], then"
+
+
 def test_base_spans():
     patterns = [
         re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
