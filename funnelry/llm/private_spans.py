@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -119,11 +120,11 @@ _SIGN_HINT = re.compile(rf"{_OPEN}(?:at|arroba|@|dot|punto|punkt|point|\.){_CLOS
 _AT_SIGN = re.compile(rf"{_OPEN}(?:at|arroba|@){_CLOSE}", re.I)
 _DOT_SIGN = re.compile(rf"{_OPEN}(?:dot|punto|punkt|point|\.){_CLOSE}", re.I)
 _DOT_WORD = re.compile(r"(?<=[A-Za-z0-9])\s{1,4}(?:dot|punto|punkt|point)\s{1,4}(?=\w)", re.I)
-# A bare "at" counts only before a name with a dot that was disguised too.
+# A bare "at" counts only before a dotted name in which a dot was disguised too.
 _AT_WORD = re.compile(
-    r"(?<=[A-Za-z0-9])(?:\s{1,4}|[_-])at(?:\s{1,4}|[_-])(?=[A-Za-z0-9-]{1,63}(\.)[A-Za-z0-9])",
-    re.I,
+    r"(?<=[A-Za-z0-9])(?:\s{1,4}|[_-])at(?=(\s{1,4}|[_-])[A-Za-z0-9-])", re.I
 )
+_NAME = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+")
 _SPELLED = re.compile(
     rf"(?<![\w])(?:{_WORD}|[0-9]+)(?:(?:[ \t,-]{{1,3}}|\.)(?:{_WORD}|[0-9]+))+(?!\w)", re.I
 )
@@ -184,6 +185,22 @@ def _disguised(text: str) -> bool:
     return not DIGIT_WORDS.keys().isdisjoint(words) and bool(_SPELLED_HINT.search(text))
 
 
+def _bare_ats(out: Rewritten) -> Iterator[tuple[int, int]]:
+    """Each "at" before a name of which any dot was rewritten; linear in long names."""
+    dots = [i for i in np.flatnonzero(out.changed).tolist() if out.text[i] == "."]
+    if not dots:
+        return
+    reach = after = 0
+    for m in _AT_WORD.finditer(out.text):
+        start, end = m.start(), m.end(1)
+        if end >= reach:
+            reach = _NAME.match(out.text, end).end()
+        at = bisect_left(dots, end)
+        if start >= after and at < len(dots) and dots[at] < reach:
+            yield start, end
+            after = end
+
+
 def rewrite(text: str) -> Rewritten | None:
     """The text after all transducers; None if none of them has anything to do."""
     out = None
@@ -196,13 +213,7 @@ def rewrite(text: str) -> Rewritten | None:
     out = out or Rewritten(text)
     for pattern, new in ((_AT_SIGN, "@"), (_DOT_SIGN, "."), (_DOT_WORD, ".")):
         out.apply([(m.start(), m.end(), new) for m in pattern.finditer(out.text)])
-    out.apply(
-        [
-            (m.start(), m.end(), "@")
-            for m in _AT_WORD.finditer(out.text)
-            if out.changed[m.start(1)]
-        ]
-    )
+    out.apply([(a, b, "@") for a, b in _bare_ats(out)])
     spelled = ((m, _digits_of(m)) for m in _SPELLED.finditer(out.text))
     out.apply([(m.start(), m.end(), new) for m, new in spelled if new])
     out.apply(

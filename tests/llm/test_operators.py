@@ -252,6 +252,10 @@ CASES = [
     ("one nine two dot one six eight dot one dot one end", [("ip", "one nine two dot one six eight dot one dot one")]),
     ("four" + " one" * 15, [("card", "four" + " one" * 15)]),
     ("plus four four two zero seven nine four six one", [("phone", "plus four four two zero seven nine four six one")]),
+    ("john at mail.example dot com", [("email", "john at mail.example dot com")]),
+    ("j-at-a.b.example [dot] co.uk!", [("email", "j-at-a.b.example [dot] co.uk")]),
+    ("look at at example dot com", [("email", "at at example dot com")]),
+    ("look at mail.example.com or so dot then", []),
     ("look at example.com one or two at six", []),
     ("un deux trois, the dot and the point", []),
 ]
@@ -315,6 +319,7 @@ def test_spans_and_redaction(docs):
     out = docs.select("text", private_spans.find_private("text").alias("s"), private_spans.redact_private("text").alias("r"))
     assert all(r["r"] == r["text"] and r["s"] == [] for r in out.collect())
     assert private_spans.private_spans("1" * 200_000 + " " + "a" * 200_000) == []
+    assert len(private_spans.private_spans("a-at-" * 40_000 + "b dot c")) == 1
 
 
 def test_url_globs_against_fnmatch():
