@@ -15,11 +15,12 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from funnelry.llm import bpe, private_spans, url_globs
 from funnelry.llm.components import components
-from funnelry.llm.cotraining import quality_scores
+from funnelry.llm.cotraining import ROUNDS, SURE, _given, _moments, _newton, _views, cotrain, quality_scores
 from funnelry.llm.crf_language import forward_backward, learn, predict_column, words_of
 from funnelry.llm.jaccard_join import jaccard_components, word_hashes
 from funnelry.llm.mixing import measured, mix_sources, repeat_rows
@@ -404,6 +405,53 @@ def test_cotraining(spark):
     assert quality_scores(documents.limit(0), pages, labels).count() == 0
 
 
+def test_cotraining_takes_all_unlabelled_rows(spark):
+    rng = np.random.default_rng(8)
+    n, marked = 9000, 200
+    truth = rng.random(n) < 0.6
+    text, meta = (truth[:, None] * 0.8 + rng.normal(0, 1, (n, k)) for k in (5, 3))
+    rows = [
+        (i, x.astype(np.float32).tobytes(), y.astype(np.float32).tobytes(), float(z) if i < marked else None, hash((i, "row")) >> 1)
+        for i, (x, y, z) in enumerate(zip(text, meta, truth, strict=True))
+    ]
+    df = spark.createDataFrame(rows, "id long, features binary, meta binary, label double, hash long").repartition(7)
+    pool = df.filter("label is null").select("features", "meta", "hash")
+    known = df.filter("label is not null").orderBy("id").toPandas()
+    model, rounds = cotrain(known, pool)
+    rest = pool.toPandas()
+    views, hashes = _views(rest), rest["hash"].to_numpy()
+    # Each round labels its share of all rows; a sample of 6000 could not.
+    for done in range(1, ROUNDS + 1):
+        for label in _given(views, hashes, rounds[:done]):
+            assert abs((label >= 0).sum() - done * SURE * len(rest)) < 0.15 * done * SURE * len(rest)
+    # The weights are those of a fit over the labelled and all pseudo-labelled rows.
+    fit = np.arange(len(known)) % 4 > 0
+    for v, label in enumerate(_given(views, hashes, rounds)[::-1]):
+        x = np.vstack([_views(known)[v][fit], views[v][label >= 0]])
+        y = np.concatenate([known["label"].to_numpy()[fit], label[label >= 0]])
+        by_hand = _newton(lambda w: [_moments(x, y, w[0])], [np.zeros(x.shape[1] + 1)])[0]
+        assert np.allclose(by_hand, [model.text, model.meta][v], atol=1e-3)
+
+
+def test_cotraining_heeds_rows_of_large_hashes(spark):
+    def scores(word: str) -> dict:
+        # Unlabelled rows beyond the 6000 of the smallest hashes have words of their own.
+        base = spark.range(7000).select(
+            F.col("id").alias("doc_id"),
+            F.when(F.col("id") < 60, F.col("id") % 2).cast("int").alias("quality"),
+            F.rank().over(Window.orderBy(F.col("id") < 60, F.xxhash64("id"))).alias("at"),
+        )
+        kind = F.when(F.col("doc_id") % 2 == 1, "fine").otherwise("poor")
+        text = F.concat_ws(" ", kind, kind, F.when((F.col("at") > 6000) & F.col("quality").isNull(), word).otherwise("plain"), F.col("doc_id") % 50)
+        full = base.select("doc_id", "quality", text.alias("text"), F.lit("en").alias("lang"), kind.alias("source"), F.lit(20).cast("long").alias("n_chars"), "at")
+        out = quality_scores(full, spark.createDataFrame([], "page_id long, url string"), full.select("doc_id", "quality"))
+        seen = full.filter("at <= 6000").select("doc_id")
+        return {r["doc_id"]: r["text_score"] for r in out.join(seen, "doc_id").collect()}
+
+    plain, other = scores("plain"), scores("strange%%")
+    assert max(abs(plain[i] - other[i]) for i in plain) > 1e-6
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
