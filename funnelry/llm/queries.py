@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from funnelry.llm.bpe import decode_column, encode_column
 from funnelry.llm.cotraining import quality_scores
 from funnelry.llm.crf_language import held_out, learn, predict_column
+from funnelry.llm.equal_average import cluster_vectors
+from funnelry.llm.filter_audit import audit_documents
 from funnelry.llm.jaccard_join import jaccard_components
 from funnelry.llm.mixing import measured, mix_sources
 from funnelry.llm.private_spans import KINDS, find_private
 from funnelry.llm.quality_rules import quality_rules
+from funnelry.llm.quotient_dedup import exact_copies
 from funnelry.llm.shard_tree import regular_tree, shard_rows
 from funnelry.llm.topk import top_k
 from funnelry.llm.url_globs import judge_urls
@@ -128,6 +131,19 @@ def op10_url_globs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", judge_urls(F.col("url")).alias("x")).select("page_id", "x.*")
 
 
+def op11_quotient_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (_table(spark, sf_dir, x) for x in ("documents", "labels"))
+    return audit_documents(spark, documents, labels)
+
+
+def op13_equal_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(spark, _table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -143,5 +159,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_shard_tree": op9_shard_tree,
     "op10_url_globs": op10_url_globs,
+    "op11_quotient_dedup": op11_quotient_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_equal_average": op13_equal_average,
     "pipeline": pipeline,
 }
