@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,10 +64,15 @@ def parse_users(staged: DataFrame) -> DataFrame:
     )
 
 
+NEWEST_USER = ["user_updated_at", *LOAD_ORDER, "user_object_text"]
+
+
 def dim_user(staged: DataFrame) -> DataFrame:
     users = parse_users(staged).where(F.col("user_id").isNotNull())
-    newest = ["user_updated_at", *LOAD_ORDER, "user_object_text"]
-    latest = latest_by(users, ["user_id"], newest)
+    return named_users(latest_by(users, ["user_id"], NEWEST_USER))
+
+
+def named_users(latest: DataFrame) -> DataFrame:
     return latest.select(
         "user_id",
         "email",
@@ -141,7 +148,8 @@ def business_fields(events: DataFrame, field_map: DataFrame, keep: list[str]) ->
     )
 
 
-def _typed(wide: DataFrame, type_map: DataFrame, stages: list[str]) -> DataFrame:
+def typed_events(wide: DataFrame, type_map: DataFrame, stages: list[str]) -> DataFrame:
+    """Events of active types in some stages, with amounts as money and roles filled in."""
     mapped = wide.join(active_types(type_map, stages), "custom_activity_type_id")
     return mapped.select(
         *EVENT_COLUMNS,
@@ -160,7 +168,7 @@ def funnel_events(
     stages: list[str] = FUNNEL_STAGES,
 ) -> DataFrame:
     """Mapped events with their business fields, from deduplicated custom activities."""
-    return _typed(business_fields(events, field_map, EVENT_COLUMNS), type_map, stages)
+    return typed_events(business_fields(events, field_map, EVENT_COLUMNS), type_map, stages)
 
 
 def latest_funnel_events(
@@ -176,7 +184,7 @@ def latest_funnel_events(
     """
     custom = activities.where(F.col("activity_type") == "CustomActivity")
     narrow = business_fields(custom, field_map, EVENT_COLUMNS + TIES)
-    return _typed(latest_by(narrow, ["lead_id", "activity_id"], NEWEST + TIES), type_map, stages)
+    return typed_events(latest_by(narrow, ["lead_id", "activity_id"], NEWEST + TIES), type_map, stages)
 
 
 def pivot_fields(long: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
@@ -299,7 +307,9 @@ def stage_fact(events: DataFrame, name: str) -> DataFrame:
     return rows
 
 
-def fact_objection(paths: DataFrame, category_map: DataFrame) -> DataFrame:
+def fact_objection(
+    paths: DataFrame, category_map: DataFrame, keep: Sequence[str] = ()
+) -> DataFrame:
     """One row per objection named in a path's strategy call, with its category."""
     calls = paths.where(
         F.col("strategy_activity_id").isNotNull() & F.col("objections_faced").isNotNull()
@@ -313,6 +323,7 @@ def fact_objection(paths: DataFrame, category_map: DataFrame) -> DataFrame:
         values.utc_date("strategy_at").alias("report_date"),
         "strategy_at",
         "closer_user_id",
+        *keep,
         F.explode(F.when(is_list, labels)).alias("label"),
     ).select("*", F.trim("label").alias("source_objection_value"))
     categories = category_map.where(values.is_true("is_active")).select(

@@ -6,6 +6,8 @@ Ratios divide in double precision or decimal and are NULL where the divisor is z
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,8 @@ INBOUND_ZONE = "America/New_York"
 BOOKING_TITLE = "%Data Engineer Academy%"
 BOOKING_SEQUENCE = "001-Triage Booked // Setter Confirmation"
 
-MONEY_TOTALS = ["total_contract_value", "total_cash_collected"]
+MONEY = {"contract_value": "total_contract_value", "cash_collected": "total_cash_collected"}
+MONEY_TOTALS = list(MONEY.values())
 
 
 def with_outcome(
@@ -42,62 +45,145 @@ def with_person(report: DataFrame, users: DataFrame, role: str) -> DataFrame:
     return report.join(people, f"{role}_user_id", "left")
 
 
-def _money_sums() -> list[Column]:
+# --- what one row adds to a report ----------------------------------------------------
+#
+# Every function below gives the grouping columns of a report and, for each row, 0 or 1 for
+# everything the report counts. Full reports sum them, increments add and subtract them.
+
+
+def booking_flags(title: str = BOOKING_TITLE, sequence: str = BOOKING_SEQUENCE) -> list[Column]:
+    """``is_calendar`` and ``is_sms``: whether an activity document shows a booked call."""
+    named = [documents.text("activity", x).ilike(title) for x in ("title", "note")]
+    kind, sent = F.col("activity_type"), documents.text("activity", "sequence_name")
     return [
-        F.sum("contract_value").alias("total_contract_value"),
-        F.sum("cash_collected").alias("total_cash_collected"),
+        values.flag((kind == "Meeting") & (named[0] | named[1])).alias("is_calendar"),
+        values.flag((kind == "SMS") & (sent == sequence)).alias("is_sms"),
     ]
 
 
+def evidence_date() -> Column:
+    return values.local_date("activity_at", INBOUND_ZONE).alias("report_date")
+
+
+def _setter_rows(
+    paths: DataFrame, outcomes: DataFrame, source: str, field: str, date: Column, keep: Sequence[str]
+) -> DataFrame:
+    """Paths of one source with what their contact and their strategy call came to."""
+    rows = paths.where(F.col("funnel_source") == source)
+    rows = with_outcome(rows, outcomes, field, "initial_outcome", {"is_set": "_set"})
+    rows = with_outcome(
+        rows, outcomes, "strategy_outcome", "strategy_outcome", {"is_taken": "_taken"}
+    )
+    call, sale = F.col("strategy_activity_id").isNotNull(), F.col("sale_activity_id").isNotNull()
+    taken = call & values.is_true("_taken")
+    return rows.select(
+        date.alias("report_date"),
+        "setter_user_id",
+        "lead_id",
+        values.flag(values.not_blank("initial_outcome")).alias("concluded"),
+        values.flag(values.is_true("_set")).alias("was_set"),
+        values.flag(call).alias("call_booked"),
+        values.flag(taken).alias("call_taken"),
+        values.flag(taken & values.is_true(F.col("offer_presented") != "")).alias("offered"),
+        values.flag(sale).alias("sold"),
+        *MONEY,
+        *keep,
+    )
+
+
+def inbound_rows(paths: DataFrame, outcomes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    date = values.local_date("initial_at", INBOUND_ZONE)
+    return _setter_rows(paths, outcomes, "inbound", "triage_outcome", date, keep)
+
+
+def outbound_rows(paths: DataFrame, outcomes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    date = values.utc_date("initial_at")
+    return _setter_rows(paths, outcomes, "outbound", "prospecting_outcome", date, keep)
+
+
+def closer_rows(paths: DataFrame, outcomes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    rows = with_outcome(
+        paths.where(F.col("strategy_activity_id").isNotNull()),
+        outcomes,
+        "strategy_outcome",
+        "strategy_outcome",
+        {"outcome_category": "_category", "outcome_subcategory": "_kind", "is_taken": "_taken"},
+    )
+
+    def kind(name: str) -> Column:
+        return values.flag(F.col("_kind") == name)
+
+    return rows.select(
+        values.utc_date("strategy_at").alias("report_date"),
+        "closer_user_id",
+        kind("admin_cancel").alias("admin_cancellations"),
+        kind("nurture_cancel").alias("nurture_cancellations"),
+        kind("not_interested_cancel").alias("not_interested_cancellations"),
+        kind("no_show").alias("no_shows"),
+        values.flag(values.is_true("_taken")).alias("shows"),
+        values.flag(F.col("_category") == "lost").alias("lost_deals"),
+        values.flag(F.col("sale_activity_id").isNotNull()).alias("sales"),
+        *MONEY,
+        *keep,
+    )
+
+
+CLOSER_COUNTS = [
+    "admin_cancellations",
+    "nurture_cancellations",
+    "not_interested_cancellations",
+    "no_shows",
+    "shows",
+    "lost_deals",
+    "sales",
+]
+
+
+def _sums(columns: dict[str, str]) -> list[Column]:
+    return [F.sum(column).cast("bigint").alias(name) for column, name in columns.items()]
+
+
+def _money_sums() -> list[Column]:
+    return [F.sum(column).alias(name) for column, name in MONEY.items()]
+
+
+# --- inbound setters ------------------------------------------------------------------
+
+
 def booking_evidence(activities: DataFrame) -> DataFrame:
     """Per date, setter and lead: whether a meeting or message shows a booked call.
 
     Every activity counts, so setters without bookings appear too. The documents are
     reduced to two flags before the rows are shuffled.
     """
-    title, note = documents.text("activity", "title"), documents.text("activity", "note")
-    kind, sequence = F.col("activity_type"), documents.text("activity", "sequence_name")
-    calendar = (kind == "Meeting") & (title.ilike(BOOKING_TITLE) | note.ilike(BOOKING_TITLE))
-    message = (kind == "SMS") & (sequence == BOOKING_SEQUENCE)
     narrow = activities.select(
         "activity_id",
         "lead_id",
         F.col("user_id").alias("setter_user_id"),
         *NEWEST,
         *TIES,
-        values.flag(calendar).alias("is_calendar"),
-        values.flag(message).alias("is_sms"),
+        *booking_flags(),
     )
     latest = latest_by(narrow, ["activity_id"], NEWEST + TIES)
-    report_date = values.local_date("activity_at", INBOUND_ZONE).alias("report_date")
-    return latest.groupBy(report_date, "setter_user_id", "lead_id").agg(
+    return latest.groupBy(evidence_date(), "setter_user_id", "lead_id").agg(
         F.max("is_calendar").alias("has_calendar_booking"),
         F.max("is_sms").alias("has_sms_booking"),
     )
 
 
 def triage_conclusions(paths: DataFrame, outcome_map: DataFrame) -> DataFrame:
-    inbound = paths.where(F.col("funnel_source") == "inbound")
-    mapped = with_outcome(
-        inbound, outcome_map, "triage_outcome", "initial_outcome", {"is_set": "initial_is_set"}
-    )
-    mapped = with_outcome(
-        mapped,
-        outcome_map,
-        "strategy_outcome",
-        "strategy_outcome",
-        {"is_taken": "strategy_is_taken"},
-    )
-    taken = F.col("strategy_activity_id").isNotNull() & values.is_true("strategy_is_taken")
-    offered = values.is_true(F.col("offer_presented") != "")
-    report_date = values.local_date("initial_at", INBOUND_ZONE).alias("report_date")
-    return mapped.groupBy(report_date, "setter_user_id", "lead_id").agg(
-        F.max(values.flag(values.not_blank("initial_outcome"))).alias("has_triage_conclusion"),
-        F.max(values.flag(values.is_true("initial_is_set"))).alias("has_triage_set"),
-        F.count("strategy_activity_id").alias("strategy_calls_booked"),
-        F.count_if(taken).alias("strategy_calls_taken"),
-        F.count_if(taken & offered).alias("offers_presented"),
-        F.count("sale_activity_id").alias("total_sales"),
+    rows = inbound_rows(paths, outcome_map)
+    return rows.groupBy("report_date", "setter_user_id", "lead_id").agg(
+        F.max("concluded").alias("has_triage_conclusion"),
+        F.max("was_set").alias("has_triage_set"),
+        *_sums(
+            {
+                "call_booked": "strategy_calls_booked",
+                "call_taken": "strategy_calls_taken",
+                "offered": "offers_presented",
+                "sold": "total_sales",
+            }
+        ),
         *_money_sums(),
     )
 
@@ -117,25 +203,32 @@ def combine_evidence(evidence: DataFrame, conclusions: DataFrame) -> DataFrame:
     )
 
 
+INBOUND_SUMS = [
+    "strategy_calls_booked",
+    "strategy_calls_taken",
+    "offers_presented",
+    "total_sales",
+    *MONEY_TOTALS,
+]
+
+
 def rpt_inbound_setter(
     paths: DataFrame, activities: DataFrame, users: DataFrame, outcome_map: DataFrame
 ) -> DataFrame:
     leads = combine_evidence(booking_evidence(activities), triage_conclusions(paths, outcome_map))
     concluded = F.col("has_triage_conclusion") == 1
     booked = (F.col("has_calendar_booking") == 1) | (F.col("has_sms_booking") == 1) | concluded
-    summed = [
-        "strategy_calls_booked",
-        "strategy_calls_taken",
-        "offers_presented",
-        "total_sales",
-        *MONEY_TOTALS,
-    ]
     rollup = leads.groupBy("report_date", "setter_user_id").agg(
         F.count_if(booked).alias("inbound_booked"),
         F.count_if(concluded).alias("inbound_taken"),
         F.count_if(F.col("has_triage_set") == 1).alias("triage_set"),
-        *[F.sum(c).alias(c) for c in summed],
+        *[F.sum(c).alias(c) for c in INBOUND_SUMS],
     )
+    return inbound_report(rollup, users)
+
+
+def inbound_report(rollup: DataFrame, users: DataFrame) -> DataFrame:
+    """Names and ratios of counts by date and setter."""
     return with_person(rollup, users, "setter").select(
         "report_date",
         "setter_user_id",
@@ -144,7 +237,7 @@ def rpt_inbound_setter(
         "inbound_booked",
         "inbound_taken",
         "triage_set",
-        *summed,
+        *INBOUND_SUMS,
         values.ratio("inbound_taken", "inbound_booked", 4).alias("show_rate"),
         values.ratio("triage_set", "inbound_taken", 4).alias("triage_set_rate"),
         values.ratio("offers_presented", "strategy_calls_taken", 4).alias("offer_rate"),
@@ -153,34 +246,28 @@ def rpt_inbound_setter(
     )
 
 
+# --- outbound setters and closers -----------------------------------------------------
+
+OUTBOUND_COUNTS = {
+    "was_set": "outbound_set",
+    "call_booked": "strategy_calls_booked",
+    "call_taken": "total_closer_show",
+    "sold": "total_sales",
+}
+
+
 def rpt_outbound_setter(paths: DataFrame, users: DataFrame, outcome_map: DataFrame) -> DataFrame:
-    outbound = paths.where(F.col("funnel_source") == "outbound")
-    mapped = with_outcome(
-        outbound,
-        outcome_map,
-        "prospecting_outcome",
-        "initial_outcome",
-        {"is_set": "initial_is_set"},
-    )
-    mapped = with_outcome(
-        mapped,
-        outcome_map,
-        "strategy_outcome",
-        "strategy_outcome",
-        {"is_taken": "strategy_is_taken"},
-    )
-    taken = F.col("strategy_activity_id").isNotNull() & values.is_true("strategy_is_taken")
-    rollup = mapped.groupBy(
-        values.utc_date("initial_at").alias("report_date"), "setter_user_id"
-    ).agg(
+    rows = outbound_rows(paths, outcome_map)
+    rollup = rows.groupBy("report_date", "setter_user_id").agg(
         F.count("*").alias("total_outbound_calls"),
         F.countDistinct("lead_id").alias("unique_leads_touched"),
-        F.count_if(values.is_true("initial_is_set")).alias("outbound_set"),
-        F.count("strategy_activity_id").alias("strategy_calls_booked"),
-        F.count_if(taken).alias("total_closer_show"),
-        F.count("sale_activity_id").alias("total_sales"),
+        *_sums(OUTBOUND_COUNTS),
         *_money_sums(),
     )
+    return outbound_report(rollup, users)
+
+
+def outbound_report(rollup: DataFrame, users: DataFrame) -> DataFrame:
     return with_person(rollup, users, "setter").select(
         "report_date",
         "setter_user_id",
@@ -188,10 +275,7 @@ def rpt_outbound_setter(paths: DataFrame, users: DataFrame, outcome_map: DataFra
         "setter_email",
         "total_outbound_calls",
         "unique_leads_touched",
-        "outbound_set",
-        "strategy_calls_booked",
-        "total_closer_show",
-        "total_sales",
+        *OUTBOUND_COUNTS.values(),
         *MONEY_TOTALS,
         values.ratio("outbound_set", "total_outbound_calls", 4).alias("dial_to_set_rate"),
         values.ratio("total_closer_show", "outbound_set", 4).alias("set_to_show_rate"),
@@ -201,40 +285,23 @@ def rpt_outbound_setter(paths: DataFrame, users: DataFrame, outcome_map: DataFra
 
 
 def rpt_closer(paths: DataFrame, users: DataFrame, outcome_map: DataFrame) -> DataFrame:
-    mapped = with_outcome(
-        paths.where(F.col("strategy_activity_id").isNotNull()),
-        outcome_map,
-        "strategy_outcome",
-        "strategy_outcome",
-        {"outcome_category": "category", "outcome_subcategory": "subcategory", "is_taken": "taken"},
-    )
-    subcategory = F.col("subcategory")
-    rollup = mapped.groupBy(
-        values.utc_date("strategy_at").alias("report_date"), "closer_user_id"
-    ).agg(
+    rows = closer_rows(paths, outcome_map)
+    rollup = rows.groupBy("report_date", "closer_user_id").agg(
         F.count("*").alias("calls_booked"),
-        F.count_if(subcategory == "admin_cancel").alias("admin_cancellations"),
-        F.count_if(subcategory == "nurture_cancel").alias("nurture_cancellations"),
-        F.count_if(subcategory == "not_interested_cancel").alias("not_interested_cancellations"),
-        F.count_if(subcategory == "no_show").alias("no_shows"),
-        F.count_if(values.is_true("taken")).alias("shows"),
-        F.count_if(F.col("category") == "lost").alias("lost_deals"),
-        F.count("sale_activity_id").alias("sales"),
+        *_sums({c: c for c in CLOSER_COUNTS}),
         *_money_sums(),
     )
+    return closer_report(rollup, users)
+
+
+def closer_report(rollup: DataFrame, users: DataFrame) -> DataFrame:
     return with_person(rollup, users, "closer").select(
         "report_date",
         "closer_user_id",
         "closer_name",
         "closer_email",
         "calls_booked",
-        "admin_cancellations",
-        "nurture_cancellations",
-        "not_interested_cancellations",
-        "no_shows",
-        "shows",
-        "lost_deals",
-        "sales",
+        *CLOSER_COUNTS,
         *MONEY_TOTALS,
         values.ratio("shows", "calls_booked", 4).alias("show_rate"),
         values.ratio("sales", "shows", 4).alias("show_to_sale_rate"),
@@ -242,13 +309,22 @@ def rpt_closer(paths: DataFrame, users: DataFrame, outcome_map: DataFrame) -> Da
     )
 
 
-def rpt_objections_faced(paths: DataFrame, category_map: DataFrame) -> DataFrame:
-    """Share of a date's evaluated strategy calls that named each category."""
-    evaluated = paths.where(
+# --- objections -----------------------------------------------------------------------
+
+
+def evaluated_calls(paths: DataFrame) -> DataFrame:
+    """Paths whose strategy call has an answer to the objections question."""
+    return paths.where(
         F.col("strategy_activity_id").isNotNull() & F.col("objections_faced").isNotNull()
     )
-    calls = evaluated.groupBy(values.utc_date("strategy_at").alias("report_date")).agg(
-        F.countDistinct("strategy_activity_id").alias("strategy_calls_evaluated")
+
+
+def rpt_objections_faced(paths: DataFrame, category_map: DataFrame) -> DataFrame:
+    """Share of a date's evaluated strategy calls that named each category."""
+    calls = (
+        evaluated_calls(paths)
+        .groupBy(values.utc_date("strategy_at").alias("report_date"))
+        .agg(F.countDistinct("strategy_activity_id").alias("strategy_calls_evaluated"))
     )
     categories = (
         fact_objection(paths, category_map)
@@ -259,6 +335,10 @@ def rpt_objections_faced(paths: DataFrame, category_map: DataFrame) -> DataFrame
             F.countDistinct("lead_id").alias("distinct_lead_count"),
         )
     )
+    return objections_report(categories, calls)
+
+
+def objections_report(categories: DataFrame, calls: DataFrame) -> DataFrame:
     share = values.ratio("distinct_strategy_call_count", "strategy_calls_evaluated", 4)
     return categories.join(calls, "report_date", "left").select(
         *categories.columns, "strategy_calls_evaluated", share.alias("strategy_call_percentage")
