@@ -72,11 +72,11 @@ def masked_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
         ),
         "masks",
     )
-    # Only copies matter, and a text with any number of them is one row of each map task.
+    # Only copies matter, and a text with any number of them is one row of each map task. Both
+    # sides of the join are dealt for it alone, so a digest with many rows can be split there.
     first = rows.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
-    judged = rows.where(F.col("id").isNotNull()).join(
-        first.where("copies > 1").select("digest", "first"), "digest", "left"
-    )
+    first = stored(first.where("copies > 1").select("digest", "first"), "first")
+    judged = rows.where(F.col("id").isNotNull()).join(first, "digest", "left")
     later = F.coalesce(F.col("id") > F.col("first"), F.lit(False))
     known = (
         labels.where(F.col("doc_id").isNotNull())
