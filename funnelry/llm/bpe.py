@@ -7,6 +7,7 @@ executors need no file of their own. Nothing is trained.
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -17,6 +18,7 @@ import pandas as pd
 import tiktoken
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Texts are encoded in pieces of about so many characters.
 PIECE_CHARS = 1 << 16
@@ -111,3 +113,39 @@ def decode_column(spark: SparkSession, ids: Column, path: str, pattern: str) ->
             )
 
     return raw(ids)
+
+
+#: What :func:`coded_column` gives for a text; ``ids`` only where they are asked for.
+CODED = {
+    "n_tokens": T.LongType(),
+    "ids_sha256": T.StringType(),
+    "decoded_sha256": T.StringType(),
+    "ids": T.BinaryType(),
+}
+
+
+def coded_column(
+    spark: SparkSession, text: Column, path: str, pattern: str, with_ids: bool = False
+) -> Column:
+    """A struct with the count and SHA-256 of a text's ids and of the bytes they decode to.
+
+    Encoding and decoding share one worker and one vocabulary, a text at a time, and nothing
+    long goes back but the packed ids, if asked for. A null text is coded as an empty one.
+    """
+    ranks = _broadcast(spark, path)
+    names = list(CODED) if with_ids else list(CODED)[:-1]
+    schema = T.StructType([T.StructField(n, CODED[n]) for n in names])
+
+    def row(codec: tiktoken.Encoding, text: str) -> tuple:
+        ids = encode(codec, text)
+        packed, raw = ids.tobytes(), codec.decode_bytes(ids.tolist())
+        digests = [hashlib.sha256(x).hexdigest() for x in (packed, raw)]
+        return (len(ids), *digests, packed)[: len(names)]
+
+    @F.pandas_udf(schema)
+    def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        codec = encoding(ranks.value, pattern)
+        for batch in batches:
+            yield pd.DataFrame([row(codec, t or "") for t in batch], columns=names)
+
+    return coded(text)
