@@ -93,8 +93,8 @@ def _repeat_words(words: str) -> str:
     return _let("w", words, _let("n", "greatest(size(w) - 2, 0)", body))
 
 
-def measures(text: str) -> Column:
-    """A struct of all measures of the text column; those of a null text are 0."""
+def _measures(text: str) -> str:
+    """SQL of a struct of all measures of a text that is not null."""
     words = f"array_remove(split({text}, '{SPACE}+'), '')"
     lines = f"filter(split({text}, '\\n'), x -> x rlike '[^ \\t-\\r]')"
     stop = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -111,14 +111,13 @@ def measures(text: str) -> Column:
     spaceless = f"length(translate({text}, ' \\t\\n\\u000B\\u000C\\r', ''))"
     symbol_free = f"length(translate({text}, '#*$%&|<>', ''))"
     calm = f"length(translate({text}, '!', ''))"
-    counted = F.struct(
-        F.expr(_let("w", words, per_words)).alias("of_words"),
-        F.expr(_let("l", lines, per_lines)).alias("of_lines"),
-        F.expr(f"cast({spaceless} as long)").alias("word_chars"),
-        F.expr(f"cast(length({text}) - {symbol_free} as long)").alias("n_symbols"),
-        F.expr(f"cast(length({text}) - {calm} as long)").alias("n_exclamations"),
+    return (
+        f"named_struct('of_words', {_let('w', words, per_words)}, "
+        f"'of_lines', {_let('l', lines, per_lines)}, "
+        f"'word_chars', cast({spaceless} as long), "
+        f"'n_symbols', cast(length({text}) - {symbol_free} as long), "
+        f"'n_exclamations', cast(length({text}) - {calm} as long))"
     )
-    return counted
 
 
 MEASURES = [
@@ -127,6 +126,43 @@ MEASURES = [
 ]
 
 
+def quality_column(
+    text: Column, rules: list[Rule] = RULES, base: list[Rule] = BASE_RULES
+) -> Column:
+    """A struct of the measures, ``base_failed``, ``failed`` (names) and ``kept``.
+
+    One expression that works out every measure once, wherever the optimizer moves it: a
+    filter on ``kept`` included. A null or empty text has zero for every measure and fails
+    the base rules. Equal texts have equal results.
+    """
+    nested = {"n_words", "n_stop_words", "n_repeat_words"}
+    lines = {"n_lines", "n_dup_lines"}
+
+    def judged(counted: Column) -> Column:
+        def field(name: str) -> Column:
+            if name in nested:
+                return counted["of_words"][name]
+            return counted["of_lines"][name] if name in lines else counted[name]
+
+        of = {name: field(name) for name in MEASURES}
+        base_failed = F.lit(False)
+        for rule in base:
+            base_failed = base_failed | rule.failed(of)
+        named = [F.when(r.failed(of), F.lit(r.name)) for r in [*base, *rules]]
+        names = F.array_compact(F.array(*named))
+        return F.struct(
+            *[of[name].alias(name) for name in MEASURES],
+            base_failed.alias("base_failed"),
+            names.alias("failed"),
+            (F.size(names) == 0).alias("kept"),
+        )
+
+    # Elements of one-row arrays: names for what is worked out once.
+    texts = F.array(F.coalesce(text, F.lit("")))
+    measured = F.call_function("transform", texts, F.expr(f"t -> {_measures('t')}"))
+    return F.transform(measured, judged)[0]
+
+
 def quality_rules(
     df: DataFrame,
     text: str = "text",
@@ -134,36 +170,9 @@ def quality_rules(
     base: list[Rule] = BASE_RULES,
     into: str = "quality",
 ) -> DataFrame:
-    """Adds a struct ``into``: the measures, ``base_failed``, ``failed`` (names), ``kept``.
+    """Adds a struct ``into`` of :func:`quality_column`.
 
-    Every row stays, in place; no shuffle. A null or empty text has zero for every measure
-    and fails the base rules. Equal texts have equal results. A column named like ``into``
-    is replaced; other columns are passed on.
+    Every row stays, in place; no shuffle. A column named like ``into`` is replaced; all
+    other columns are passed on.
     """
-    # A projection of its own, so that no measure is worked out twice.
-    raw, safe = f"{into}_counted", f"{into}_text"
-    df = df.withColumn(safe, F.coalesce(F.col(text), F.lit("")))
-    df = df.withColumn(raw, measures(f"`{safe}`")).drop(safe)
-    nested = {"n_words", "n_stop_words", "n_repeat_words"}
-    lines = {"n_lines", "n_dup_lines"}
-
-    def field(name: str) -> Column:
-        top = F.col(raw)
-        if name in nested:
-            return top["of_words"][name]
-        return top["of_lines"][name] if name in lines else top[name]
-
-    of = {name: field(name) for name in MEASURES}
-    base_failed = F.lit(False)
-    for rule in base:
-        base_failed = base_failed | rule.failed(of)
-    names = F.filter(
-        F.array(*[F.when(r.failed(of), F.lit(r.name)) for r in [*base, *rules]]),
-        lambda x: x.isNotNull(),
-    )
-    fields = [of[name].alias(name) for name in MEASURES]
-    judged = F.struct(
-        *fields, base_failed.alias("base_failed"), names.alias("failed"),
-        (F.size(names) == 0).alias("kept"),
-    )
-    return df.withColumn(into, judged).drop(raw)
+    return df.withColumn(into, quality_column(F.col(text), rules, base))

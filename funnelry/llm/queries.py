@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelry.llm.bpe import decode_column, encode_column
+from funnelry.llm.bpe import coded_column
 from funnelry.llm.cotraining import quality_scores
 from funnelry.llm.crf_language import held_out, learn, predict_column
 from funnelry.llm.equal_average import cluster_vectors
@@ -57,16 +57,8 @@ def op4_bpe(
     pattern: str = public_tokenizers.PATTERN,
 ) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = documents.select(
-        "doc_id", encode_column(spark, F.col("text"), path, pattern).alias("ids")
-    )
-    decoded = encoded.withColumn("raw", decode_column(spark, F.col("ids"), path, pattern))
-    return decoded.select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("raw", 256).alias("decoded_sha256"),
-    )
+    coded = coded_column(spark, F.col("text"), path, pattern)
+    return documents.select("doc_id", coded.alias("x")).select("doc_id", "x.*")
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
