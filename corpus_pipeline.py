@@ -9,12 +9,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from funnelry.llm.bpe import decode_column, encode_column
+from funnelry.llm.bpe import coded_column
 from funnelry.llm.jaccard_join import jaccard_components
 from funnelry.llm.mixing import measured, mix_sources, repeat_rows
 from funnelry.llm.private_spans import redact_private
-from funnelry.llm.quality_rules import quality_rules
+from funnelry.llm.quality_rules import quality_column
 from funnelry.sources.tables import stored
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -22,7 +23,7 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that meet the base rules and the threshold table."""
-    return quality_rules(docs, into="_quality").filter("_quality.kept").drop("_quality")
+    return docs.filter(quality_column(F.col("text"))["kept"])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,40 +31,40 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Groups are of rows, whatever their ids: repeated and null ids are rows like others. A row
     without id is kept only where its group has no id. Texts without words are linked to
-    nothing and all stay.
+    nothing and all stay. Columns of any name and type are passed on.
     """
-    keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
-    found = jaccard_components(keyed.select("_row", "text"), "_row").select(
-        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")
+    whole = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text")
+    keyed = stored(whole.withColumn("row", F.monotonically_increasing_id()), "keyed")
+    found = jaccard_components(keyed.select("row", "text"), "row").select(
+        F.col("doc_id").alias("row"), F.col("component_id").alias("group")
     )
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    order = F.struct(F.col("doc_id").isNull().alias("_without"), "doc_id", "text", *rest)
-    first = keyed.join(found, "_row").groupBy("_group").agg(F.min(order).alias("_first"))
-    return first.select(*[F.col(f"_first.{c}").alias(c) for c in docs.columns])
+    plain = [f.name for f in docs.schema if isinstance(f.dataType, T.AtomicType)]
+    rest = [F.col(f"doc.{c}") for c in plain if c not in ("doc_id", "text")]
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text", *rest, "row")
+    first = keyed.join(found, "row").groupBy("group").agg(F.min_by("doc", order).alias("doc"))
+    return first.select("doc.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their personal data replaced by its kind."""
     redacted = docs.withColumn("text", redact_private(F.col("text")))
+    if "n_chars" not in docs.columns:
+        return redacted
     return redacted.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's budget takes them."""
-    sized = stored(measured(docs), "sized")
-    return repeat_rows(mix_sources(sized)).select(docs.columns)
+    """Documents as often as their source's budget takes them; columns of any name stay."""
+    whole = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text", "source")
+    sized = stored(measured(whole).drop("text"), "sized")
+    return repeat_rows(mix_sources(sized)).select("doc.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, packed, with what shows that they decode to it."""
-    pattern = public_tokenizers.PATTERN
-    coded = docs.select(
-        "doc_id", "source", encode_column(spark, F.col("text"), RANKS, pattern).alias("ids")
-    )
-    raw = F.sha2(decode_column(spark, F.col("ids"), RANKS, pattern), 256)
-    return coded.withColumns(
-        {"n_tokens": (F.octet_length("ids") / 4).cast("long"), "decoded_sha256": raw}
-    )
+    coded = coded_column(spark, F.col("text"), RANKS, public_tokenizers.PATTERN, with_ids=True)
+    rows = docs.select("doc_id", "source", coded.alias("x"))
+    return rows.select("doc_id", "source", "x.ids", "x.n_tokens", "x.decoded_sha256")
 
 
 STAGES = [
