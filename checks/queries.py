@@ -9,7 +9,8 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from functools import cached_property
+from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,20 @@ from checks.oracle import CTES, NY, average, money, ratio, sql
 from funnelry.functions import documents, values
 from funnelry.operators import changes, fields
 from funnelry.operators.latest import RANK, latest_by
-from funnelry.plans import audit, bronze, dashboard, gold, profile, quality, reports, silver
+from funnelry.plans import (
+    audit,
+    bronze,
+    dashboard,
+    gold,
+    increments,
+    profile,
+    quality,
+    reports,
+    silver,
+)
 from funnelry.sources import landing, seeds
 from funnelry.sources.tables import shared_folder, stored
+from funnelry.sources.versions import Store
 from funnelry.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,6 +201,7 @@ def landed_folder(c: Crm) -> str:
 
 WRAPPERS = "(SELECT event_id, 0 AS v FROM events UNION ALL SELECT event_id, 1 FROM events WHERE event_id % 10 = 0) w"
 STAMP = "CASE WHEN v = 0 THEN TIMESTAMP '2026-05-16 07:30:00' ELSE TIMESTAMP '2026-05-17 07:30:00' END"
+STAMP_W = STAMP.replace("v =", "w.v =")
 
 
 @query(
@@ -313,6 +326,45 @@ def land_file_manifest(c: Crm) -> DataFrame:
     )
 
 
+@query(
+    "land_content",
+    f"""SELECT CAST(CAST({STAMP_W} AS DATE) AS VARCHAR) AS folder, w.event_id % 4 AS part,
+               row_number() OVER (PARTITION BY w.v, w.event_id % 4 ORDER BY w.event_id) AS source_row_number,
+               a.activity_id, a.lead_id, a.custom_activity_type_id, {STAMP_W} AS insert_date,
+               TIMESTAMP '2026-05-17 07:30:00' AS bronze_loaded_at, w.v AS batch_id
+        FROM {WRAPPERS} LEFT JOIN act a ON a.activity_array_index = 0 AND a.source_row_number = w.event_id + 1
+             AND a.load_date = CAST({STAMP_W} AS DATE)""",
+)
+def land_content(c: Crm) -> DataFrame:
+    """Documents, line numbers and stamps of two loads of new files, compacted afterwards."""
+    base = scratch(c.spark, "content")
+    source, target, checkpoint = f"{base}/in", f"{base}/raw", f"{base}/checkpoint"
+    for load in crm.LOADS:
+        day = c.activities_raw.where(F.col("load_date") == F.lit(load.date()))
+        lines = landing.export_lines(day, "source_row_number").select(
+            "value", "source_row_number", ((F.col("source_row_number") - 1) % 4).alias("part")
+        )
+        # One file for each part, with its lines in the order of their events.
+        ordered = lines.repartition("part").sortWithinPartitions("part", "source_row_number")
+        ordered.select("value", "part").write.partitionBy("part").text(
+            f"{source}/load_date={load.date()}"
+        )
+        incremental.land_new_files(c.spark, source, target, checkpoint, LOAD_TS)
+    incremental.compact_raw_table(c.spark, target)
+    first = F.try_variant_get("raw_data", "$.data[0]", "variant")
+    return incremental.read_raw_table(c.spark, target).select(
+        F.regexp_extract("source_file_name", r"load_date=([0-9-]+)", 1).alias("folder"),
+        F.regexp_extract("source_file_name", r"part=(\d)", 1).cast("bigint").alias("part"),
+        "source_row_number",
+        documents.text(first, "id").alias("activity_id"),
+        documents.text(first, "lead_id").alias("lead_id"),
+        documents.text(first, "custom_activity_type_id").alias("custom_activity_type_id"),
+        "insert_date",
+        "bronze_loaded_at",
+        F.col("batch_id").cast("int").alias("batch_id"),
+    )
+
+
 @query(
     "land_partition_prune",
     f"SELECT '2026-05-17' AS load_date, count(*) AS row_count FROM {WRAPPERS} WHERE v = 1",
@@ -2028,6 +2080,117 @@ def upsert_latest(c: Crm) -> DataFrame:
     return changes.upsert_latest(current, incoming, ["o_orderkey"], ["changed_at"])
 
 
+@query(
+    "stored_upsert",
+    """SELECT user_id, event_type, event_id, ts, value, props, insert_date, update_date FROM (
+         SELECT *, min(d) OVER k AS insert_date, max(d) OVER k AS update_date,
+                row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn
+         FROM (SELECT CASE WHEN user_id % 9 > 0 THEN user_id END AS user_id, event_type, event_id,
+                      CASE WHEN event_id % 7 > 0 THEN date_trunc('hour', ts) END AS ts, value, props,
+                      TIMESTAMP '2026-05-16 07:30:00' + INTERVAL 1 DAY * (event_id % 3) AS d FROM events)
+         WINDOW k AS (PARTITION BY user_id, event_type)) WHERE rn = 1""",
+)
+def stored_upsert(c: Crm) -> DataFrame:
+    """Three deliveries upserted into a stored table, one of them twice.
+
+    Keys come again in other deliveries, some are NULL, and stamps tie or are missing.
+    """
+    store = Store(c.spark, scratch(c.spark, "upsert"))
+    events = c.table("events").withColumns(
+        {
+            "user_id": F.expr("CASE WHEN user_id % 9 > 0 THEN user_id END"),
+            "ts": F.expr("CASE WHEN event_id % 7 > 0 THEN CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ) END"),
+        }
+    )
+    for batch, day in enumerate((1, 0, 2)):
+        delivery = events.where(F.col("event_id") % 3 == day)
+        for _ in range(2 if day == 0 else 1):
+            incremental.upsert_batch(
+                store,
+                delivery,
+                "events",
+                batch,
+                ["user_id", "event_type"],
+                ["ts", "event_id"],
+                crm.LOADS[0] + dt.timedelta(days=day),
+                buckets=4,
+            )
+    return store.read(incremental.LATEST)
+
+
+DAILY = {
+    "rpt_inbound_setter": (
+        "inbound", "setter_user_id", "inbound_booked", "inbound_taken", "triage_set", "total_sales",
+        "total_contract_value", "total_cash_collected", "show_rate",
+    ),
+    "rpt_outbound_setter": (
+        "outbound", "setter_user_id", "total_outbound_calls", "unique_leads_touched", "outbound_set", "total_sales",
+        "total_contract_value", "total_cash_collected", "dial_to_set_rate",
+    ),
+    "rpt_closer": (
+        "closer", "closer_user_id", "calls_booked", "no_shows", "shows", "sales",
+        "total_contract_value", "total_cash_collected", "show_to_sale_rate",
+    ),
+    "rpt_objections_faced": (
+        "objections_report", "objection_category", "objection_count", "distinct_strategy_call_count",
+        "distinct_lead_count", "strategy_calls_evaluated", "NULL", "NULL", "strategy_call_percentage",
+    ),
+}
+DAILY_NAMES = ["person", "n1", "n2", "n3", "n4", "contract_value", "cash_collected", "rate"]
+
+
+def _daily_columns(columns: tuple[str, ...]) -> list[str]:
+    kinds = ["VARCHAR", *["BIGINT"] * 4, *["DOUBLE"] * 3]
+    return [
+        f"CAST({c} AS {k}) AS {n}" for c, k, n in zip(columns, kinds, DAILY_NAMES, strict=True)
+    ]
+
+
+@query(
+    "daily_loads",
+    "\nUNION ALL\n".join(
+        f"SELECT {way} AS way, '{report}' AS report, CAST(report_date AS VARCHAR) AS report_date, "
+        f"{', '.join(_daily_columns(columns))} FROM {table}"
+        for report, (table, *columns) in DAILY.items()
+        for way in (1, 2)
+    ),
+)
+def daily_loads(c: Crm) -> DataFrame:
+    """Seven daily loads in two orders, kept load by load; both give the reports of one build.
+
+    The second order takes several days at once where they have piled up, and one day again.
+    """
+    days = [stored(raw, "day") for _, raw in crm.daily_loads(c.spark, c.sf_dir)]
+    ways = {1: [[d] for d in range(7)], 2: [[5, 0], [6, 3, 1], [2], [4, 0]]}
+
+    def run(way: int) -> list[DataFrame]:
+        store = Store(c.spark, scratch(c.spark, "daily"))
+        for batch, load in enumerate(ways[way]):
+            raw = days[load[0]]
+            for day in load[1:]:
+                raw = raw.unionByName(days[day])
+            increments.apply_activities(store, raw, batch, c.seeds, buckets=4)
+        for batch, load in enumerate(crm.LOADS):
+            users = c.raw("close_crm_users_raw").where(F.col("load_date") == load.date())
+            increments.apply_users(store, users, batch, buckets=2)
+        found = []
+        for report, (_, *columns) in DAILY.items():
+            rows = increments.read_report(store, report)
+            found.append(
+                rows.select(
+                    F.lit(way).alias("way"),
+                    F.lit(report).alias("report"),
+                    "report_date",
+                    *[F.expr(x.replace("VARCHAR", "STRING")) for x in _daily_columns(columns)],
+                )
+            )
+        return found
+
+    with ThreadPoolExecutor(len(ways)) as pool:
+        parts = [df for way in pool.map(run, ways) for df in way]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "stream_keep_latest",
     """SELECT user_id, event_type, event_id, ts, value FROM events

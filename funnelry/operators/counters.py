@@ -30,7 +30,9 @@ def apply_counts(change: Change, name: str, changes: DataFrame, rows: str = "n")
     table = change.tables[name]
     keys = list(table.keys)
     counts = [c for c in changes.columns if c not in keys]
-    changes = stored(changes.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts]), name)
+    changes = changes.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts])
+    if table.buckets > 1:
+        changes = stored(changes, name)
     touched = change.touched(name, changes)
     current = change.read(name, touched)
     both = current.withColumn(_INCOMING, F.lit(0)).unionByName(

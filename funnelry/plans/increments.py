@@ -13,6 +13,7 @@ once; after the same loads the tables are those of a full build.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ from funnelry.sources.versions import Change, Store
 
 ACTIVITIES, USERS, REFERENCE = "lead_activities_raw", "close_crm_users_raw", "reference"
 UNIT, SIGN = "unit", "sign"
+#: Counts by day and person, or day and objection, are small and rewritten as a whole.
+REPORT_BUCKETS = 1
 #: Sums of money are kept with as many digits as a full build gives them.
 MONEY = "decimal(38,2)"
 
@@ -83,7 +86,7 @@ def _merge_paths(
     merged, touched = merge_latest(
         change, "events", events, ["lead_id", "activity_id"], NEWEST + TIES
     )
-    units = stored(events.select(UNIT).distinct(), "units")
+    units = events.select(UNIT).distinct()
     mine = merged.join(units, UNIT, "left_semi")
     typed = gold.typed_events(mine, seeds["custom_activity_type_map"], gold.FUNNEL_STAGES)
     paths = gold.funnel_paths(stored(typed, "typed"))
@@ -113,7 +116,7 @@ def _merge_evidence(change: Change, load: DataFrame, buckets: int) -> DataFrame:
         "is_sms",
     )
     change.create("activity_heads", heads.schema, [UNIT], buckets)
-    units = stored(heads.select(UNIT).distinct(), "head_units")
+    units = heads.select(UNIT).distinct()
     before = change.read("activity_heads", change.touched("activity_heads", units))
     old = before.join(units, UNIT, "left_semi").withColumn(SIGN, F.lit(-1))
     merged, _ = merge_latest(change, "activity_heads", heads, ["activity_id"], NEWEST + TIES)
@@ -197,7 +200,7 @@ def _inbound(
         **{c: F.col(c) for c in ["call_booked", "call_taken", "offered", "sold", *reports.MONEY]},
     }
     delta = difference(touched, setter, counts)
-    _counters(change, "inbound_setters", delta, setter, buckets)
+    _counters(change, "inbound_setters", delta, setter, REPORT_BUCKETS)
     apply_counts(change, "inbound_setters", delta)
 
 
@@ -213,15 +216,15 @@ def _outbound(change: Change, moved: DataFrame, outcomes: DataFrame, buckets: in
         **{c: F.col(c) for c in ["paths", *names, *_PERSON_MONEY]},
     }
     delta = difference(touched, setter, counts)
-    _counters(change, "outbound_setters", delta, setter, buckets)
+    _counters(change, "outbound_setters", delta, setter, REPORT_BUCKETS)
     apply_counts(change, "outbound_setters", delta, rows="paths")
 
 
-def _closers(change: Change, moved: DataFrame, outcomes: DataFrame, buckets: int) -> None:
+def _closers(change: Change, moved: DataFrame, outcomes: DataFrame) -> None:
     closer = ["report_date", "closer_user_id"]
     rows = reports.closer_rows(moved, outcomes, [SIGN])
     changes = _signed(rows, closer, reports.CLOSER_COUNTS)
-    _counters(change, "closers", changes, closer, buckets)
+    _counters(change, "closers", changes, closer, REPORT_BUCKETS)
     apply_counts(change, "closers", changes, rows="paths")
 
 
@@ -264,7 +267,7 @@ def _objections(change: Change, moved: DataFrame, categories: DataFrame, buckets
         "evaluated": members("evaluated"),
     }
     delta = difference(touched, group, counts)
-    _counters(change, "objection_categories", delta, group, buckets)
+    _counters(change, "objection_categories", delta, group, REPORT_BUCKETS)
     apply_counts(change, "objection_categories", delta)
 
 
@@ -293,12 +296,18 @@ def apply_activities(
         raise ReferenceChanged("mapping tables differ from those of the stored loads")
     outcomes = seeds["funnel_outcome_map"]
     load = _load_rows(raw, seeds)
-    moved = _merge_paths(change, load, seeds, buckets)
-    evidence = _merge_evidence(change, load, buckets)
-    _inbound(change, moved, evidence, outcomes, buckets)
-    _outbound(change, moved, outcomes, buckets)
-    _closers(change, moved, outcomes, buckets)
-    _objections(change, moved, seeds["objection_category_map"], buckets)
+    # The parts below write tables of their own; small loads are bound by jobs, not by rows.
+    with ThreadPoolExecutor(4) as pool:
+        evidence = pool.submit(_merge_evidence, change, load, buckets)
+        moved = _merge_paths(change, load, seeds, buckets)
+        parts = [
+            pool.submit(_outbound, change, moved, outcomes, buckets),
+            pool.submit(_closers, change, moved, outcomes),
+            pool.submit(_objections, change, moved, seeds["objection_category_map"], buckets),
+        ]
+        _inbound(change, moved, evidence.result(), outcomes, buckets)
+        for part in parts:
+            part.result()
     change.commit({source: batch, REFERENCE: reference})
     return True
 

@@ -1,15 +1,44 @@
-"""Loads that pick up only files not seen before."""
+"""Loads that pick up only files not seen before, and tables they are merged into.
+
+Every batch of a stream is one commit to a versioned store: what a killed batch has written
+is never read, and a batch that comes again after its commit is passed over.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from funnelry.operators.changes import upsert_latest
 from funnelry.operators.latest import RANK, latest_by
 from funnelry.sources import landing
+from funnelry.sources.tables import stored
+from funnelry.sources.versions import Change, Store
+
+RAW, LATEST = "raw", "latest"
+
+
+def _run(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> None:
+    """Takes in what is there, then stops."""
+    query = (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def _begin(store: Store, source: str, batch: int) -> Change | None:
+    """A change for a batch, None if the batch is in the store already."""
+    change = store.begin()
+    return None if change.base.applied.get(source, -1) >= batch else change
+
+
+# --- landing --------------------------------------------------------------------------
 
 
 def land_new_files(
@@ -23,11 +52,10 @@ def land_new_files(
 ) -> None:
     """Appends the rows of new files to a raw table, then stops.
 
-    The checkpoint is the list of processed files. Each batch owns one ``batch_id``
-    folder and overwrites it, so a batch repeated after a failure adds nothing twice. A
-    malformed line fails the run before its batch is committed. ``files_per_batch``
-    breaks a backlog into batches that are committed one by one. With ``archive``, files
-    of finished batches are moved there.
+    The checkpoint is the list of processed files. A batch is seen once it is committed to
+    the manifest of ``target``, and only once. A malformed line fails the run before its
+    batch is committed. ``files_per_batch`` breaks a backlog into batches that are committed
+    one by one. With ``archive``, files of finished batches are moved there.
     """
     stream = spark.readStream.option("recursiveFileLookup", True)
     if archive:
@@ -35,22 +63,36 @@ def land_new_files(
     if files_per_batch:
         stream = stream.option("maxFilesPerTrigger", files_per_batch)
     lines = landing.file_lines(stream.text(source))
+    store = Store(spark, target)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        change = _begin(store, checkpoint, batch_id)
+        if change is None:
+            return
         raw = landing.to_raw(landing.number_rows(batch), load_ts)
-        raw.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        raw = raw.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        change.create(RAW, raw.schema, ["source_file_name"], 1)
+        change.append(RAW, raw)
+        change.commit({checkpoint: batch_id})
 
-    query = (
-        lines.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    _run(lines, checkpoint, write)
 
 
 def read_raw_table(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target)
+    """The committed rows of a raw table; empty before the first load."""
+    store = Store(spark, target)
+    if RAW not in store.manifest().tables:
+        return landing.empty_raw(spark).withColumn("batch_id", F.lit(None).cast("bigint"))
+    return store.read(RAW)
+
+
+def compact_raw_table(spark: SparkSession, target: str) -> int:
+    """Gathers the small files that many loads have left; how many there were."""
+    change = Store(spark, target).begin()
+    gathered = change.compact(RAW)
+    if gathered:
+        change.commit()
+    return gathered
 
 
 def file_manifest(raw: DataFrame) -> DataFrame:
@@ -62,6 +104,60 @@ def file_manifest(raw: DataFrame) -> DataFrame:
     )
 
 
+# --- tables kept by key ---------------------------------------------------------------
+
+
+def merge_batch(
+    store: Store,
+    incoming: DataFrame,
+    source: str,
+    batch: int,
+    keys: Sequence[str],
+    combine: Callable[[DataFrame, DataFrame], DataFrame],
+    buckets: int = 256,
+    name: str = LATEST,
+) -> bool:
+    """Merges a batch into a stored table; False if the batch is in already.
+
+    ``combine`` gets the stored rows of the touched buckets and the incoming rows. Only
+    these buckets are read and written. A batch whose keys fall in every bucket rewrites the
+    table: without updates in place that is the price.
+    """
+    change = _begin(store, source, batch)
+    if change is None:
+        return False
+    incoming = stored(incoming, "incoming")
+    change.create(name, incoming.schema, keys, buckets)
+    touched = change.touched(name, incoming)
+    change.replace(name, combine(change.read(name, touched), incoming), touched)
+    change.commit({source: batch})
+    return True
+
+
+def upsert_batch(
+    store: Store,
+    incoming: DataFrame,
+    source: str,
+    batch: int,
+    keys: Sequence[str],
+    newest: Sequence[str],
+    load_ts: dt.datetime,
+    buckets: int = 256,
+    name: str = LATEST,
+) -> bool:
+    """Upserts a batch by key: first ``insert_date`` and last ``update_date`` are kept.
+
+    Both columns are set to ``load_ts``, so a repeated run gives the same rows.
+    """
+    stamp = F.lit(load_ts).cast("timestamp_ntz")
+    stamped = incoming.withColumns({"insert_date": stamp, "update_date": stamp})
+
+    def combine(current: DataFrame, rows: DataFrame) -> DataFrame:
+        return upsert_latest(current, rows, keys, newest)
+
+    return merge_batch(store, stamped, source, batch, keys, combine, buckets, name)
+
+
 def keep_latest(
     spark: SparkSession,
     source: DataFrame,
@@ -71,59 +167,21 @@ def keep_latest(
     newest: Sequence[str],
     buckets: int = 256,
 ) -> None:
-    """Streaming form of the latest-version rule, as an upsert per batch.
-
-    The target is spread over ``buckets`` folders by key hash and written as numbered
-    generations: a batch reads generation n, merges the buckets its keys fall in, and
-    writes generation n + 1 of those buckets only. Readers take the newest generation of
-    each bucket, and a repeated batch replaces its own generation. A batch whose keys
-    fall in every bucket rewrites the table: without a merge-capable table format that
-    is the price of updates in place.
-    """
-    generations = f"{target}/generations"
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    """Streaming form of the latest-version rule, as an upsert per batch."""
+    store = Store(spark, target)
+
+    def combine(current: DataFrame, rows: DataFrame) -> DataFrame:
+        return latest_by(current.unionByName(rows), keys, newest).drop(RANK)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        incoming = batch.withColumn("bucket", bucket)
-        current = _newest_generation(spark, generations, before=batch_id)
-        both = incoming
-        if current is not None:
-            touched = F.broadcast(incoming.select("bucket").distinct())  # at most `buckets` rows
-            both = incoming.unionByName(current.join(touched, "bucket", "left_semi"))
-        merged = latest_by(both, keys, newest).drop(RANK)
-        # Rebalancing gathers each bucket into few files and splits a large bucket.
-        merged.hint("rebalance", "bucket").write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy("bucket").parquet(f"{generations}/generation={batch_id}")
+        merge_batch(store, batch, checkpoint, batch_id, keys, combine, buckets)
 
-    query = (
-        source.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    _run(source, checkpoint, merge)
 
 
 def read_latest(spark: SparkSession, target: str) -> DataFrame:
-    """The table kept by :func:`keep_latest`."""
-    found = _newest_generation(spark, f"{target}/generations")
-    if found is None:
+    """The table kept by :func:`keep_latest` or :func:`upsert_batch`."""
+    store = Store(spark, target)
+    if LATEST not in store.manifest().tables:
         raise FileNotFoundError(f"nothing has been written to {target}")
-    return found.drop("bucket")
-
-
-def _newest_generation(
-    spark: SparkSession, path: str, before: int | None = None
-) -> DataFrame | None:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path):
-        return None
-    table = spark.read.parquet(path)
-    if before is not None:
-        table = table.where(F.col("generation") < before)
-    # One row per bucket and generation: partition columns only, no file content needed.
-    newest = table.groupBy("bucket").agg(F.max("generation").alias("generation"))
-    return table.join(F.broadcast(newest), ["bucket", "generation"], "left_semi").drop(
-        "generation"
-    )
+    return store.read(LATEST)

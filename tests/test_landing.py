@@ -11,6 +11,7 @@ from funnelry.functions import documents
 from funnelry.plans import bronze, gold, silver
 from funnelry.schema import RAW
 from funnelry.sources import landing, seeds
+from funnelry.sources import versions
 from funnelry.streaming import incremental
 from tests.conftest import plan_of
 from tests.test_layers import activity
@@ -196,3 +197,47 @@ def test_backlog_in_several_batches(spark, tmp_path):
     raw = incremental.read_raw_table(spark, str(tmp_path / "raw"))
     assert raw.count() == 10 and raw.select("batch_id").distinct().count() == 3
     assert {r.source_row_number for r in raw.collect()} == {1, 2}
+
+
+def test_a_batch_killed_before_its_commit_is_not_seen(spark, tmp_path, monkeypatch):
+    paths = [str(tmp_path / x) for x in ("in", "raw", "cp")]
+    write(tmp_path / "in", "a.jsonl", [{"n": 1}])
+    incremental.land_new_files(spark, *paths, NOW)
+    write(tmp_path / "in", "b.jsonl", [{"n": 2}, {"n": 3}])
+    monkeypatch.setattr(versions.Change, "commit", lambda *x: 1 / 0)
+    with pytest.raises(Exception):
+        incremental.land_new_files(spark, *paths, NOW)
+    assert incremental.read_raw_table(spark, paths[1]).count() == 1
+    monkeypatch.undo()
+    incremental.land_new_files(spark, *paths, NOW)
+    assert incremental.read_raw_table(spark, paths[1]).count() == 3
+
+
+def test_small_files_are_gathered(spark, tmp_path):
+    paths = [str(tmp_path / x) for x in ("in", "raw", "cp")]
+    for n in range(4):
+        write(tmp_path / "in", f"f{n}.jsonl", [{"n": n}] * (n + 1))
+        incremental.land_new_files(spark, *paths, NOW)
+    raw = incremental.read_raw_table(spark, paths[1])
+    before = sorted(map(str, raw.collect()))
+    assert incremental.compact_raw_table(spark, paths[1]) == len(raw.inputFiles()) == 4
+    after = incremental.read_raw_table(spark, paths[1])
+    assert len(after.inputFiles()) < 4 and sorted(map(str, after.collect())) == before
+    assert incremental.compact_raw_table(spark, paths[1]) == 0
+    # The files of the version before go with the next commit but one.
+    assert sorted(map(str, raw.collect())) == before
+
+
+def test_upserted_batches_keep_stamps_and_come_once(spark, tmp_path):
+    store = versions.Store(spark, str(tmp_path / "s"))
+    schema = "k string, at int, v string"
+    loads = [[("a", 1, "x"), (None, 1, "n")], [("a", 1, "y"), ("b", 5, "z")], [("b", 4, "old"), (None, 2, "m")]]
+    for batch, rows in enumerate(loads):
+        for _ in range(2):
+            incremental.upsert_batch(
+                store, spark.createDataFrame(rows, schema), "feed", batch, ["k"], ["at"],
+                NOW + dt.timedelta(days=batch), buckets=3,
+            )
+    found = {r.k: (r.at, r.v, r.insert_date.day, r.update_date.day) for r in store.read("latest").collect()}
+    day = NOW.day
+    assert found == {"a": (1, "y", day, day + 1), "b": (5, "z", day + 1, day + 2), None: (2, "m", day, day + 2)}
