@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from checks import crm
 from checks.oracle import CTES, NY, average, money, ratio, sql
-from funnelry.functions import documents, values
+from funnelry.functions import documents, repair, values
 from funnelry.operators import changes, fields
 from funnelry.operators.latest import RANK, latest_by
 from funnelry.plans import (
@@ -880,6 +880,61 @@ def top_level_keys(c: Crm) -> DataFrame:
     return keys.withColumn("top_level_keys", F.array_join("top_level_keys", ","))
 
 
+REPAIR = {
+    "user_id": "CASE WHEN c_custkey % 6 NOT IN (3, 5) THEN 'user_' || CAST(c_custkey AS VARCHAR) END",
+    "note": (
+        "CASE c_custkey % 6 WHEN 0 THEN 'it''s ' || c_name WHEN 1 THEN 'it''s ' || c_name "
+        "WHEN 2 THEN 'O''Neil: \"' || c_name || '\", ok' WHEN 3 THEN 'None, True: {x}' END"
+    ),
+    "how": (
+        "CASE c_custkey % 6 WHEN 0 THEN 'parsed' WHEN 4 THEN 'by_field' "
+        "WHEN 5 THEN CASE WHEN c_custkey % 12 = 5 THEN 'blank' ELSE 'failed' END ELSE 'repaired' END"
+    ),
+}
+
+
+def repair_input(c: Crm) -> DataFrame:
+    """Object text as JSON, in two styles of another language, cut off, blank and no object."""
+    name, key = F.col("c_name"), F.col("c_custkey").cast("string")
+    user = F.concat(F.lit("{'id': 'user_"), key, F.lit("', "))
+    kinds = [
+        F.to_json(F.struct(F.concat(F.lit("user_"), key).alias("id"), F.concat(F.lit("it's "), name).alias("note"))),
+        F.concat(user, F.lit("'note': \"it's "), name, F.lit("\", 'more': {'a': [None, True]}}")),
+        F.concat(user, F.lit("'note': 'O'Neil: \""), name, F.lit("\", ok'}")),
+        F.lit("{'id': None, 'note': 'None, True: {x}', 'even': False}"),
+        F.concat(user, F.lit("'note': 'it's cut")),
+        F.when(F.expr("c_custkey % 12 = 5"), F.lit(" ")).otherwise(F.lit("no object")),
+    ]
+    text = F.lit(None).cast("string")
+    for i, kind in enumerate(kinds):
+        text = F.when(F.col("c_custkey") % 6 == i, kind).otherwise(text)
+    rows = c.table("customer").select("c_custkey", text.alias("t"))
+    return repair.read_objects(rows, "t", ["id", "note"], "found")
+
+
+@query(
+    "json_repair_fields",
+    f"SELECT c_custkey, {', '.join(f'{x} AS {n}' for n, x in REPAIR.items())} FROM customer",
+)
+def json_repair_fields(c: Crm) -> DataFrame:
+    return repair_input(c).select(
+        "c_custkey", F.col("found.id").alias("user_id"), "found.note", "found.how"
+    )
+
+
+@query(
+    "json_repair_counts",
+    "SELECT count(*) AS n_rows, "
+    + ", ".join(
+        f"count(*) FILTER (how = '{w}') AS n_{w}" for w in ("blank", "parsed", "repaired", "by_field", "failed")
+    )
+    + f" FROM (SELECT {REPAIR['how']} AS how FROM customer)",
+)
+def json_repair_counts(c: Crm) -> DataFrame:
+    """The failure count of a feed, and how the rest was read."""
+    return repair.repair_profile(repair_input(c), "found")
+
+
 @query(
     "json_repair",
     """SELECT c_custkey, 'user_' || CAST(c_custkey AS VARCHAR) AS user_id,
@@ -896,7 +951,7 @@ def json_repair(c: Crm) -> DataFrame:
         "if(c_custkey % 2 = 0, 'True', 'False'), if(c_custkey % 10 = 3, '', '}'))"
     )
     rows = c.table("customer").select("c_custkey", text.alias("t"))
-    parsed = rows.select("c_custkey", silver.repair_json("t").alias("d"))
+    parsed = rows.select("c_custkey", repair.repair_json("t").alias("d"))
     return parsed.select(
         "c_custkey",
         documents.text("d", "id").alias("user_id"),

@@ -2,13 +2,13 @@
 
 import datetime as dt
 import hashlib
+import json
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from funnelry.functions import documents, values
-from funnelry.plans import silver
+from funnelry.functions import documents, repair, values
 
 
 def column(spark, inputs, build, schema="v string"):
@@ -106,10 +106,37 @@ def test_document_paths_with_dots(spark):
 
 def test_repair_json(spark):
     texts = ["{'a': None, 'b': True, 'c': [False, 'None']}", "{'a': 'b'", "{\"ok\": 1}"]
-    found = column(spark, texts, lambda c: F.to_json(silver.repair_json(c)))
+    found = column(spark, texts, lambda c: F.to_json(repair.repair_json(c)))
     assert found == ['{"a":null,"b":true,"c":[false,"None"]}', None, '{"ok":1}']
 
 
+ODD = [
+    {"a": "it's"}, {"a": 'say "x"', "b": None, "c": True}, {"a": "both ' and \"q\"", "n": {"k": [1, 2.5, "d'e", False]}},
+    {"t": "None of True, False: ok", "u": "tab\tnew\nback\\slash"}, {"é": "\x01", "x": "a\\"}, {}, {"l": [[], {}]},
+    {"k": "x" * 20_000 + "'" + "y" * 9}, {"q": "'" * 3000}, {"a": "', 'b': '"}, {"a": "\\'"},
+]
+
+
+def test_printed_objects_come_back(spark):
+    found = column(spark, [repr(x) for x in ODD], lambda c: F.to_json(repair.repair_json(c)))
+    assert [json.loads(x) for x in found] == ODD
+
+
+def test_reading_objects_counts_failures(spark):
+    texts = [
+        ('{"id": "it\'s"}', "it's", "parsed"), ("{'id': 'it's', 'b': 1}", "it's", "repaired"),
+        ("{'b': 1, 'id': \"q's\", 'c'", "q's", "by_field"), ("{'id': 12, ", "12", "by_field"),
+        ("{'id': None, ", None, "failed"), ("[1, 'a']", None, "failed"), ("  ", None, "blank"), (None, None, "blank"),
+        ("{'idx': 3}", None, "repaired"), ("'i.d': 3", None, "failed"),
+    ]
+    rows = spark.createDataFrame([(i, t) for i, (t, *_) in enumerate(texts)], "i int, t string")
+    read = repair.read_objects(rows, "t", ["id"], "o")
+    found = [(r.o["id"], r.o["how"]) for r in read.orderBy("i").collect()]
+    assert found == [tuple(x) for _, *x in texts]
+    counts = repair.repair_profile(read, "o").first().asDict()
+    assert counts == {"n_rows": 10, "n_blank": 2, "n_parsed": 1, "n_repaired": 2, "n_by_field": 2, "n_failed": 3}
+
+
 def test_shuffle_partitions_follow_the_data():
     from funnelry.session import shuffle_partitions
 
