@@ -24,6 +24,7 @@ from funnelry.operators.latest import RANK, latest_by
 from funnelry.plans import (
     audit,
     bronze,
+    build,
     dashboard,
     gold,
     increments,
@@ -39,6 +40,8 @@ from funnelry.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+#: The same before the blocks they name are put in front.
+RAW_ORACLE: dict[str, str] = {}
 MODELS: dict[str, Callable[[Crm], DataFrame]] = {}
 
 LOAD_TS = crm.LOADS[1]
@@ -169,6 +172,7 @@ def query(name: str, oracle: str | None = None):
         MODELS[name] = function
         QUERIES[name] = lambda spark, sf_dir: portable(function(Crm(spark, sf_dir)))
         if oracle is not None:
+            RAW_ORACLE[name] = oracle
             ORACLE[name] = sql(oracle)
         return function
 
@@ -1501,6 +1505,105 @@ def dq_fact_unique(c: Crm) -> DataFrame:
     return quality.check_tables({"fact_lead_funnel": c.paths})
 
 
+#: Oracle tables of the constrained models, and columns that are never NULL there but are
+#: not part of the flat oracle tables.
+CONSTRAINED = {
+    "stg_bronze__leads_raw": "lead_rows",
+    "stg_bronze__lead_activities_raw": WRAPPERS,
+    "stg_bronze__custom_activities_raw": "part",
+    "stg_bronze__close_crm_users_raw": "user_rows",
+    "silver_activities": "act",
+    "silver_custom_activity_events": "custom",
+    "dim_user": "users",
+    "dim_lead": "leads",
+    "fact_lead_funnel": "fact",
+    "rpt_inbound_setter": "inbound",
+    "rpt_outbound_setter": "outbound",
+    "rpt_closer": "closer",
+    "rpt_objections_faced": "objections_report",
+    "audit_unmapped_custom_activity_types": f"({RAW_ORACLE['audit_types']}) t",
+    "audit_unmapped_custom_fields": f"({RAW_ORACLE['audit_fields']}) t",
+    "audit_unmapped_funnel_outcomes": f"({RAW_ORACLE['audit_outcomes']}) t",
+    "custom_activity_type_map": "types",
+    "custom_field_map": "fields",
+    "funnel_outcome_map": "outcomes",
+    "objection_category_map": "objection_map",
+}
+ALWAYS = {"raw_data", "source_file_name", "source_row_number", "activity_data", "activity", "row_number_latest"}
+
+
+def _constraint_sql(name: str, rules: quality.Constraints) -> list[str]:
+    table, out = CONSTRAINED[name], []
+    head = f"SELECT '{name}' AS table_name, "
+    for c in rules.not_null:
+        failing = "FALSE" if c in ALWAYS else f"{c} IS NULL"
+        out.append(f"{head}'{c}' AS column_name, 'not_null' AS test_name, count(*) FILTER (WHERE {failing}) AS failures FROM {table}")
+    for c, allowed in rules.accepted.items():
+        listed = ", ".join(f"'{x}'" for x in allowed)
+        out.append(f"{head}'{c}', 'accepted_values', count(*) FILTER (WHERE {c} NOT IN ({listed})) FROM {table}")
+    for c in rules.unique:
+        out.append(
+            f"{head}'{c}', 'unique', count(*) FROM (SELECT {c} FROM {table} WHERE {c} IS NOT NULL "
+            f"GROUP BY {c} HAVING count(*) > 1)"
+        )
+    return out
+
+
+def all_models(c: Crm) -> dict[str, DataFrame]:
+    """The 20 tables with constraints."""
+    paths, events = c.stored_paths, c.stored_events
+    return {
+        "stg_bronze__leads_raw": c.leads,
+        "stg_bronze__lead_activities_raw": c.wrappers,
+        "stg_bronze__custom_activities_raw": c.metadata,
+        "stg_bronze__close_crm_users_raw": c.staged_users,
+        "silver_activities": c.activities,
+        "silver_custom_activity_events": events,
+        "dim_user": c.users,
+        "dim_lead": gold.dim_lead(c.leads),
+        "fact_lead_funnel": paths,
+        "rpt_inbound_setter": c.inbound(paths),
+        "rpt_outbound_setter": c.outbound(paths),
+        "rpt_closer": c.closer(paths),
+        "rpt_objections_faced": c.objections(paths),
+        **audits(c),
+        **c.seeds,
+    }
+
+
+def audits(c: Crm) -> dict[str, DataFrame]:
+    events = c.stored_events
+    return {
+        "audit_unmapped_custom_activity_types": audit.unmapped_activity_types(events, c.types),
+        "audit_unmapped_custom_fields": audit.unmapped_fields(events, c.field_map),
+        "audit_unmapped_funnel_outcomes": audit.unmapped_outcomes(events, c.field_map, c.outcomes),
+    }
+
+
+@query(
+    "dq_all_tables",
+    "\nUNION ALL\n".join(
+        part for name, rules in quality.CONSTRAINTS.items() for part in _constraint_sql(name, rules)
+    ),
+)
+def dq_all_tables(c: Crm) -> DataFrame:
+    """Every constraint of all 20 tables."""
+    return quality.check_tables(all_models(c))
+
+
+@query(
+    "dq_gates",
+    "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS gate, count(*) AS row_count, count(*) = 0 AS passed FROM {CONSTRAINED[name]}"
+        for name in build.GATES
+    ),
+)
+def dq_gates(c: Crm) -> DataFrame:
+    """Both gates of a strict build."""
+    found = audits(c)
+    return quality.gate_results({name: found[name] for name in build.GATES})
+
+
 @query(
     "dq_accepted_values",
     """SELECT 'orders' AS table_name, c AS column_name, t AS test_name, n AS failures FROM (

@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from funnelry.functions import values
+
 
 @dataclass(frozen=True)
 class Constraints:
@@ -94,23 +96,33 @@ CONSTRAINTS = {
 def check_columns(df: DataFrame, table: str, constraints: Constraints) -> DataFrame:
     """Failures per constraint: NULL rows, values held by several rows, foreign values.
 
-    NULL and accepted-value counts of all columns come from one pass. Each unique column
-    takes one aggregation by value, combined on the map side.
+    One scan and one shuffle, whatever the number of constraints. Each row gives an entry for
+    every unique column and one for the table; entries are counted by column and value,
+    combined on the map side, and the table's entry sums up NULL and foreign values.
     """
-    counts = {f"not_null:{c}": F.count_if(F.col(c).isNull()) for c in constraints.not_null}
+    flags = {f"not_null:{c}": F.col(c).isNull() for c in constraints.not_null}
     for column, allowed in constraints.accepted.items():
         foreign = F.col(column).isNotNull() & ~F.col(column).isin(*allowed)
-        counts[f"accepted_values:{column}"] = F.count_if(foreign)
-    found = None
-    if counts:
-        wide = df.agg(*[count.alias(name) for name, count in counts.items()])
-        found = wide.unpivot([], list(counts), "test", "failures")
-    for column in constraints.unique:
-        copies = df.where(F.col(column).isNotNull()).groupBy(column).count()
-        repeated = copies.where("count > 1").agg(
-            F.lit(f"unique:{column}").alias("test"), F.count("*").alias("failures")
+        flags[f"accepted_values:{column}"] = foreign
+    tests = {name: F.sum(name) for name in flags}
+    marked = df.select(*[values.flag(is_bad).alias(n) for n, is_bad in flags.items()], *constraints.unique)
+    if constraints.unique:
+        entries = [
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+            for c in constraints.unique
+        ]
+        of_table = F.struct(F.lit(None).cast("string").alias("column"), F.lit("").alias("value"))
+        rows = marked.select(*flags, F.explode(F.array(*entries, of_table)).alias("entry"))
+        whole = F.col("entry.column").isNull()
+        marked = (
+            rows.where(F.col("entry.value").isNotNull())
+            .groupBy("entry.column", "entry.value")
+            .agg(F.count("*").alias("rows"), *[F.sum(F.when(whole, F.col(n))).alias(n) for n in flags])
         )
-        found = repeated if found is None else found.unionByName(repeated)
+        for c in constraints.unique:
+            tests[f"unique:{c}"] = F.count_if((F.col("column") == c) & (F.col("rows") > 1))
+    wide = marked.agg(*[F.coalesce(x, F.lit(0)).cast("bigint").alias(n) for n, x in tests.items()])
+    found = wide.unpivot([], list(tests), "test", "failures")
     parts = F.split("test", ":")
     return found.select(
         F.lit(table).alias("table_name"),
@@ -140,6 +152,12 @@ def require_empty(df: DataFrame, name: str) -> None:
         raise CheckFailed(f"{name} must be empty")
 
 
+def gate_results(gates: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of every table that must be empty, and whether it passes."""
+    counted = row_counts(gates, "gate")
+    return counted.withColumn("passed", F.col("row_count") == 0)
+
+
 def row_counts(tables: Mapping[str, DataFrame], label: str = "model_name") -> DataFrame:
     counts = [
         df.agg(F.lit(name).alias(label), F.count("*").alias("row_count"))
