@@ -141,9 +141,17 @@ class Crm:
     def metadata(self) -> DataFrame:
         return bronze.stage_custom_activities(self.raw("custom_activities_raw"))
 
+    @cached_property
+    def activity_fields(self) -> DataFrame:
+        """For queries that read fields of all kinds of activities."""
+        return stored(gold.activity_fields(self.activities, self.field_map), "activity_fields")
+
     def inbound(self, paths: DataFrame | None = None) -> DataFrame:
+        if paths is None:
+            events = gold.latest_of_fields(self.activity_fields, self.types)
+            paths = gold.funnel_paths(stored(events, "funnel_events"))
         return reports.rpt_inbound_setter(
-            paths or self.paths, self.activities, self.users, self.outcomes
+            paths, self.activity_fields, self.users, self.outcomes
         )
 
     def outbound(self, paths: DataFrame | None = None) -> DataFrame:

@@ -52,7 +52,10 @@ def build(
     )
 
     activities = make(
-        "silver", "silver_activities", silver.silver_activities(wrappers), "load_date"
+        "silver",
+        "silver_activities",
+        silver.shred(silver.silver_activities(wrappers)),
+        "load_date",
     )
     events = make(
         "silver", "silver_custom_activity_events", silver.custom_activity_events(activities)

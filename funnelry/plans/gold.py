@@ -12,7 +12,7 @@ from funnelry.operators import fields
 from funnelry.operators.asof import first_at_or_after
 from funnelry.operators.latest import RANK, latest_by
 from funnelry.operators.skew import HEAVY_ROWS
-from funnelry.plans.silver import NEWEST, TIES
+from funnelry.plans.silver import NEWEST, SHREDDED, TIES, shred
 from funnelry.schema import LINEAGE
 from funnelry.sources.tables import stored
 
@@ -187,6 +187,25 @@ def latest_funnel_events(
     return typed_events(latest_by(narrow, ["lead_id", "activity_id"], NEWEST + TIES), type_map, stages)
 
 
+def activity_fields(activities: DataFrame, field_map: DataFrame) -> DataFrame:
+    """Every activity as a narrow row: its columns, shredded and business fields.
+
+    For readers of several kinds: written once, documents are opened once for all of them.
+    """
+    rows = activities if set(SHREDDED) <= set(activities.columns) else shred(activities)
+    keep = [*EVENT_COLUMNS, *TIES, "activity_type", *SHREDDED]
+    return business_fields(rows, field_map, keep)
+
+
+def latest_of_fields(
+    rows: DataFrame, type_map: DataFrame, stages: list[str] = FUNNEL_STAGES
+) -> DataFrame:
+    """Funnel events out of stored :func:`activity_fields`."""
+    custom = rows.where(F.col("activity_type") == "CustomActivity")
+    latest = latest_by(custom, ["lead_id", "activity_id"], NEWEST + TIES)
+    return typed_events(latest, type_map, stages)
+
+
 def pivot_fields(long: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     """Long field rows (``canonical_field_name``, ``field_value``) to one column per name."""
     return long.groupBy(*keys).agg(

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from funnelry.functions import values
 from funnelry.operators.counters import apply_counts, difference, merge_latest
-from funnelry.operators.fields import read_fields
 from funnelry.plans import bronze, gold, reports, silver
 from funnelry.plans.silver import NEWEST, TIES
 from funnelry.sources.tables import stored
@@ -61,13 +60,8 @@ def _reference_hash(seeds: Mapping[str, DataFrame]) -> int:
 def _load_rows(raw: DataFrame, seeds: Mapping[str, DataFrame]) -> DataFrame:
     """A load's activities with their business fields and booking flags, documents read once."""
     activities = silver.silver_activities(bronze.stage_lead_activities(raw))
-    flags = reports.booking_flags()
-    flagged = activities.select("*", *flags)
-    keep = [*gold.EVENT_COLUMNS, *TIES, "activity_type", "is_calendar", "is_sms"]
-    names = gold.TEXT_FIELDS + gold.MONEY_FIELDS + gold.ROLE_FIELDS
-    rows = read_fields(
-        flagged, "activity", keep, seeds["custom_field_map"], names, as_json=["objections_faced"]
-    )
+    fields = gold.activity_fields(activities, seeds["custom_field_map"])
+    rows = fields.select("*", *reports.booking_flags(fields)).drop(*silver.SHREDDED)
     return stored(rows, "load")
 
 

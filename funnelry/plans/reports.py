@@ -11,10 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from funnelry.functions import documents, values
+from funnelry.functions import values
 from funnelry.operators.latest import latest_by
 from funnelry.plans.gold import fact_objection
-from funnelry.plans.silver import NEWEST, TIES
+from funnelry.plans.silver import NEWEST, TIES, shredded
 
 INBOUND_ZONE = "America/New_York"
 # How a booked triage call shows in meetings and text messages.
@@ -51,10 +51,15 @@ def with_person(report: DataFrame, users: DataFrame, role: str) -> DataFrame:
 # everything the report counts. Full reports sum them, increments add and subtract them.
 
 
-def booking_flags(title: str = BOOKING_TITLE, sequence: str = BOOKING_SEQUENCE) -> list[Column]:
-    """``is_calendar`` and ``is_sms``: whether an activity document shows a booked call."""
-    named = [documents.text("activity", x).ilike(title) for x in ("title", "note")]
-    kind, sent = F.col("activity_type"), documents.text("activity", "sequence_name")
+def booking_flags(
+    activities: DataFrame, title: str = BOOKING_TITLE, sequence: str = BOOKING_SEQUENCE
+) -> list[Column]:
+    """``is_calendar`` and ``is_sms``: whether an activity shows a booked call.
+
+    Shredded fields are read from their columns, so documents stay closed.
+    """
+    named = [shredded(activities, x).ilike(title) for x in ("title", "note")]
+    kind, sent = F.col("activity_type"), shredded(activities, "sequence_name")
     return [
         values.flag((kind == "Meeting") & (named[0] | named[1])).alias("is_calendar"),
         values.flag((kind == "SMS") & (sent == sequence)).alias("is_sms"),
@@ -162,7 +167,7 @@ def booking_evidence(activities: DataFrame) -> DataFrame:
         F.col("user_id").alias("setter_user_id"),
         *NEWEST,
         *TIES,
-        *booking_flags(),
+        *booking_flags(activities),
     )
     latest = latest_by(narrow, ["activity_id"], NEWEST + TIES)
     return latest.groupBy(evidence_date(), "setter_user_id", "lead_id").agg(

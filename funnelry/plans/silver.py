@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from funnelry.functions import documents, values
@@ -20,6 +20,9 @@ TYPE_FIELDS = {
     "Meeting": ["status", "title", "note"],
     "Note": ["note"],
 }
+#: Fields stored as typed columns beside the document, so that readers need not open it and
+#: row-group statistics hold for them.
+SHREDDED = sorted({f for names in TYPE_FIELDS.values() for f in names})
 
 
 def flatten_array(rows: DataFrame, array: str, index: str, item: str) -> DataFrame:
@@ -51,6 +54,16 @@ def silver_activities(staged: DataFrame) -> DataFrame:
     )
 
 
+def shred(activities: DataFrame) -> DataFrame:
+    """Adds the shredded fields as text columns, for tables that are written."""
+    return activities.select("*", *[documents.text("activity", f).alias(f) for f in SHREDDED])
+
+
+def shredded(activities: DataFrame, field: str) -> Column:
+    """A shredded field: its own column where there is one, else out of the document."""
+    return F.col(field) if field in activities.columns else documents.text("activity", field)
+
+
 def custom_activity_events(activities: DataFrame) -> DataFrame:
     """Latest version of every custom activity, by lead and activity."""
     custom = activities.where(F.col("activity_type") == "CustomActivity")
@@ -65,9 +78,9 @@ def other_events(activities: DataFrame) -> DataFrame:
     columns = ["activity_id", "lead_id", "activity_at", "activity_updated_at", "user_id"]
     kind = F.col("activity_type")
     found = []
-    for name in sorted({f for names in TYPE_FIELDS.values() for f in names}):
+    for name in SHREDDED:
         owners = [t for t, names in TYPE_FIELDS.items() if name in names]
-        found.append(F.when(kind.isin(owners), documents.text("activity", name)).alias(name))
+        found.append(F.when(kind.isin(owners), shredded(activities, name)).alias(name))
     rows = activities.where(kind.isin(list(TYPE_FIELDS))).select(
         "activity_type", *columns, *TIES, *found
     )

@@ -80,3 +80,33 @@ def test_projection_reaches_the_scan(spark):
     plan = plan_of(QUERIES["multi_distinct"](spark, SF))
     schema = plan[plan.index("ReadSchema") :]
     assert "l_orderkey" in schema and "l_extendedprice" not in schema
+
+
+def test_evidence_of_built_tables_leaves_documents_closed(spark, models):
+    from funnelry.plans import reports
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        plan = plan_of(reports.booking_evidence(models["silver_activities"]))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    schema = plan[plan.index("ReadSchema") :]
+    assert "title" in schema and "sequence_name" in schema
+    assert "activity:variant" not in plan and "variant_get" not in plan
+
+
+def test_constraints_of_a_table_take_one_scan(spark, models):
+    rules = quality.Constraints(
+        not_null=("user_id", "email"), unique=("user_id", "email", "last_name"), accepted={"first_name": ("x",)}
+    )
+    checked = quality.check_columns(models["dim_user"], "dim_user", rules)
+    assert plan_of(checked).count("FileScan") == 1
+    by_hand = {}
+    users = [r.asDict() for r in models["dim_user"].collect()]
+    for c in rules.unique:
+        seen = [u[c] for u in users if u[c] is not None]
+        by_hand[c, "unique"] = sum(seen.count(x) > 1 for x in set(seen))
+    for c in rules.not_null:
+        by_hand[c, "not_null"] = sum(u[c] is None for u in users)
+    by_hand["first_name", "accepted_values"] = sum(u["first_name"] is not None for u in users)
+    assert {(r.column_name, r.test_name): r.failures for r in checked.collect()} == by_hand
