@@ -18,16 +18,18 @@ def build(
     seeds: Mapping[str, DataFrame],
     environment: str = "",
     strict: bool = False,
+    buckets: int = 200,
 ) -> dict[str, DataFrame]:
     """Creates every model and returns them by name.
 
     Tables read by several models are stored once and read back with only the columns
-    each model needs. With ``strict``, unmapped types or outcomes stop the build.
+    each model needs. With ``strict``, unmapped types or outcomes stop the build. Funnel
+    events are stored in ``buckets`` by lead, so matching them shuffles nothing.
     """
     models: dict[str, DataFrame] = {}
 
-    def make(layer: str, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        models[name] = materialise(df, layer, name, environment, partition_by)
+    def make(layer: str, name: str, df: DataFrame, *layout) -> DataFrame:
+        models[name] = materialise(df, layer, name, environment, *layout)
         return models[name]
 
     seeds = {name: make("reference", name, seed) for name, seed in seeds.items()}
@@ -84,10 +86,12 @@ def build(
     users = make("gold", "dim_user", gold.dim_user(staged_users))
     make("gold", "dim_activity_type", gold.dim_activity_type(types))
     make("gold", "dim_outcome", gold.dim_outcome(outcomes))
-    narrow = make("gold", "funnel_events", gold.funnel_events(events, types, known_fields))
+    narrow = gold.funnel_events(events, types, known_fields)
+    by_unit = narrow.withColumn(gold.UNIT, gold.unit_of("lead_id", "activity_id"))
+    narrow = make("gold", "funnel_events", by_unit, None, (gold.UNIT, buckets))
     for name in gold.STAGE_FACTS:
-        make("gold", name, gold.stage_fact(narrow, name))
-    paths = make("gold", "fact_lead_funnel", gold.funnel_paths(narrow))
+        make("gold", name, gold.stage_fact(narrow.drop(gold.UNIT), name))
+    paths = make("gold", "fact_lead_funnel", gold.funnel_paths(narrow, key=gold.UNIT))
     make("gold", "fact_objection", gold.fact_objection(paths, categories))
 
     inbound = reports.rpt_inbound_setter(paths, activities, users, outcomes)

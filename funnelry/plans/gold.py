@@ -216,6 +216,19 @@ def pivot_fields(long: DataFrame, keys: list[str], names: list[str]) -> DataFram
     )
 
 
+UNIT = "unit"
+
+
+def unit_of(lead: str, activity: str) -> Column:
+    """What is matched on its own: a lead, or an activity without lead (which never matches).
+
+    A key to store events by: activities without lead are spread, not gathered as one lead.
+    """
+    return F.coalesce(
+        F.concat(F.lit("lead "), F.col(lead)), F.concat(F.lit("activity "), F.col(activity)), F.lit("")
+    )
+
+
 def path_category(strategy_id: Column, sale_id: Column) -> Column:
     return (
         F.when(strategy_id.isNotNull() & sale_id.isNotNull(), "initial_to_strategy_to_sale")
@@ -224,16 +237,19 @@ def path_category(strategy_id: Column, sale_id: Column) -> Column:
     )
 
 
-def funnel_paths(events: DataFrame, max_rows: int = HEAVY_ROWS) -> DataFrame:
+def funnel_paths(
+    events: DataFrame, max_rows: int = HEAVY_ROWS, key: str = "lead_id"
+) -> DataFrame:
     """One row per initial contact with its first later strategy call and that call's sale.
 
     The sale is found for every strategy call first and travels with it, so both steps
-    share one shuffle and one sort by lead. ``events`` must be a stored table.
+    share one shuffle and one sort by lead. ``events`` must be a stored table. With one that
+    is bucketed by its :func:`unit_of`, give that column as ``key``: nothing is shuffled then.
     """
     stage = F.col("funnel_stage")
     matched = first_at_or_after(
         events,
-        key="lead_id",
+        key=key,
         at="activity_at",
         event_id="activity_id",
         steps=[

@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 from funnelry.functions import values
 from funnelry.operators.counters import apply_counts, difference, merge_latest
 from funnelry.plans import bronze, gold, reports, silver
+from funnelry.plans.gold import UNIT, unit_of
 from funnelry.plans.silver import NEWEST, TIES
 from funnelry.sources.tables import stored
 from funnelry.sources.versions import Change, Store
 
 ACTIVITIES, USERS, REFERENCE = "lead_activities_raw", "close_crm_users_raw", "reference"
-UNIT, SIGN = "unit", "sign"
+SIGN = "sign"
 #: Counts by day and person, or day and objection, are small and rewritten as a whole.
 REPORT_BUCKETS = 1
 #: Sums of money are kept with as many digits as a full build gives them.
@@ -37,16 +38,6 @@ class ReferenceChanged(RuntimeError):
     """The mapping tables are not those of the stored loads; a full build is needed."""
 
 
-def unit_of(lead: str, activity: str) -> Column:
-    """What is matched on its own: a lead, or an activity without lead (which never matches).
-
-    Activities without lead are thus spread over all buckets.
-    """
-    return F.coalesce(
-        F.concat(F.lit("lead "), F.col(lead)), F.concat(F.lit("activity "), F.col(activity)), F.lit("")
-    )
-
-
 def _reference_hash(seeds: Mapping[str, DataFrame]) -> int:
     """One number for the content of all mapping tables, whatever the order of their rows."""
     parts = None

@@ -48,11 +48,19 @@ def database(layer: str, environment: str = "") -> str:
 
 
 def materialise(
-    df: DataFrame, layer: str, name: str, environment: str = "", partition_by: str | None = None
+    df: DataFrame,
+    layer: str,
+    name: str,
+    environment: str = "",
+    partition_by: str | None = None,
+    bucket_by: tuple[str, int] | None = None,
 ) -> DataFrame:
     """Creates the table or view of a model and returns it for later models to read.
 
-    The previous content is replaced in full, partition by partition columns included.
+    The previous content is replaced in full, partition by partition columns included. With
+    ``bucket_by`` (column, number) rows are stored by a hash of the column, so that readers
+    that group or join by it need no shuffle; a bucket of more rows than one task should
+    write becomes several files.
     """
     spark = df.sparkSession
     target = f"{database(layer, environment)}.{name}"
@@ -61,7 +69,11 @@ def materialise(
         df.createOrReplaceTempView(f"{database(layer, environment)}_{name}")
         return df
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database(layer, environment)}")
+    if bucket_by:
+        df = df.hint("rebalance", bucket_by[1], bucket_by[0])
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if bucket_by:
+        writer = writer.bucketBy(bucket_by[1], bucket_by[0])
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.saveAsTable(target)

@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def models(spark):
-    return build.build(crm.raw_tables(spark, SF), seeds.load_seeds(spark), environment="dev")
+    return build.build(crm.raw_tables(spark, SF), seeds.load_seeds(spark), environment="dev", buckets=6)
 
 
 def test_layers_become_tables_of_their_environment(spark, models):
@@ -35,7 +35,7 @@ def test_build_equals_the_direct_queries(spark, models):
 
 def test_rebuild_changes_nothing(spark, models):
     before = sorted(map(str, models["rpt_inbound_setter"].collect()))
-    again = build.build(crm.raw_tables(spark, SF), seeds.load_seeds(spark), environment="again")
+    again = build.build(crm.raw_tables(spark, SF), seeds.load_seeds(spark), environment="again", buckets=3)
     assert sorted(map(str, again["rpt_inbound_setter"].collect())) == before
 
 
@@ -110,3 +110,16 @@ def test_constraints_of_a_table_take_one_scan(spark, models):
         by_hand[c, "not_null"] = sum(u[c] is None for u in users)
     by_hand["first_name", "accepted_values"] = sum(u["first_name"] is not None for u in users)
     assert {(r.column_name, r.test_name): r.failures for r in checked.collect()} == by_hand
+
+
+def test_matching_stored_events_shuffles_nothing(models):
+    from funnelry.plans import gold
+
+    events = models["funnel_events"]
+    paths = gold.funnel_paths(events, key=gold.UNIT)
+    assert "Exchange" not in plan_of(paths) and "Window" in plan_of(paths)
+    by_lead = gold.funnel_paths(events.drop(gold.UNIT))
+    assert sorted(map(str, paths.collect())) == sorted(map(str, by_lead.collect()))
+    # Heavy leads are split from stored events as well.
+    heavy = gold.funnel_paths(events, max_rows=3, key=gold.UNIT)
+    assert sorted(map(str, heavy.collect())) == sorted(map(str, by_lead.collect()))
