@@ -10,7 +10,6 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -32,9 +31,12 @@ LONG_RUN = 100_000
 _LONG_RUN = re.compile(rf"{_SPACE}{{{LONG_RUN},}}")
 
 
-@lru_cache(maxsize=4)
 def encoding(ranks: bytes, pattern: str) -> tiktoken.Encoding:
-    """An encoding without special tokens from the content of a rank file."""
+    """An encoding without special tokens from the content of a rank file.
+
+    Made anew by each task and gone with it: workers stay for later stages, and what they hold
+    then is missing there.
+    """
     table = {}
     for line in ranks.splitlines():
         if line.strip():

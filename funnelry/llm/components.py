@@ -42,3 +42,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         labels = moved.select("node", "root")
         if moved.filter("root != before").isEmpty():
             return labels
+
+
+def forest(labels: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """Edges that make the same components as those the labels come from: node to root.
+
+    One edge for each node that is no root, however many edges there were.
+    """
+    return labels.filter("node != root").select(F.col("node").alias(a), F.col("root").alias(b))

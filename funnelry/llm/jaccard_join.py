@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from funnelry.llm.components import components
+from funnelry.llm.components import components, forest
 from funnelry.sources.tables import stored
 
 WORDS, NUM, DEN = 5, 75, 100
@@ -119,6 +119,11 @@ def word_hashes(text: bytes) -> np.ndarray:
     return np.concatenate(parts)
 
 
+def _each(texts: pa.Array) -> Iterator[bytes | None]:
+    """The texts one after the other, so that a batch is not held twice."""
+    return (text.as_py() for text in texts)
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     """A-Z lower-cased words between spaces and U+0009 to U+000D."""
     return text.lower().split() if text else []
@@ -195,7 +200,7 @@ def _sets_and_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     for batch in batches:
         digests, sizes = [], []
         kind = batch.column(0).type
-        for text in batch.column(1).to_pylist():
+        for text in _each(batch.column(1)):
             tokens = shingles(text)
             digests.append(_digest(tokens) if len(tokens) else None)
             sizes.append(len(tokens))
@@ -263,7 +268,7 @@ def _postings(sketch):
         counts, seen = sketch.value, set()
         for batch in batches:
             columns: list[list[np.ndarray]] = [[], [], [], [], []]
-            for text in batch.column(0).to_pylist():
+            for text in _each(batch.column(0)):
                 tokens = shingles(text)
                 if not len(tokens):
                     continue
@@ -316,7 +321,7 @@ def _payloads(bit_map):
         bits, seen = bit_map.value, set()
         for batch in batches:
             rows = []
-            for text in batch.column(0).to_pylist():
+            for text in _each(batch.column(0)):
                 tokens = shingles(text)
                 if not len(tokens):
                     continue
@@ -382,9 +387,9 @@ def _verify(pairs: DataFrame, payloads: DataFrame) -> DataFrame:
     return stored(both.mapInPandas(_verified, "a binary, b binary"), "links")
 
 
-def _components_of(links: DataFrame, payloads: DataFrame) -> DataFrame:
+def _components_of(labels: DataFrame, payloads: DataFrame) -> DataFrame:
     """The component of each linked node that has a payload."""
-    of_digest = components(links).withColumnRenamed("node", "digest")
+    of_digest = labels.withColumnRenamed("node", "digest")
     of_digest = of_digest.withColumn("component", F.xxhash64("root")).drop("root")
     of_node = payloads.select("node", "digest").join(of_digest, "digest")
     return of_node.groupBy("node").agg(F.min("component").alias("component"))
@@ -512,18 +517,19 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
     lists = stored(_lists(texts, spark.sparkContext.broadcast(_sketch(rows))), "lists")
     heavy = stored(_heavy(lists).withColumn("component", F.col("node")), "heavy")
     payloads = _payloads_of(heavy.select("node"), texts)
-    links = _verify(_led(heavy, 0), payloads)
-    component = _components_of(links, payloads)
+    labels = components(_verify(_led(heavy, 0), payloads))
+    component = _components_of(labels, payloads)
     live = stored(_live(_with_component(heavy, component)), "heavy")
     turn, before, (members, left) = 1, float("inf"), _pairs_left(live)
     while left > PAIRS_LEFT * members and left < WORTH * before:
-        links = links.union(_verify(_led(live, turn), payloads))
-        component = _components_of(links, payloads)
+        # A spanning forest stands for the links of all turns before.
+        labels = components(forest(labels).union(_verify(_led(live, turn), payloads)))
+        component = _components_of(labels, payloads)
         live = stored(_live(_with_component(live, component)), "heavy")
         turn, before, (members, left) = turn + 1, left, _pairs_left(live)
     rest = _across(stored(_live(_with_component(lists, component)), "live"))
     payloads = _payloads_of(rest.select(F.explode(F.array("a", "b")).alias("node")), texts)
-    return _labelled(rows, links.union(_verify(rest, payloads)))
+    return _labelled(rows, forest(labels).union(_verify(rest, payloads)))
 
 
 def _lists(texts: DataFrame, sketch) -> DataFrame:
