@@ -853,17 +853,165 @@ def flatten_multiselect(c: Crm) -> DataFrame:
                'array' AS nested_key_type, count(*) AS row_count FROM {WRAPPERS}
         UNION ALL SELECT 'close_crm_users_raw', 'object', 'JSON_OBJECT', 'string', count(*)
                   FROM customer, (VALUES (0), (1)) u(v) WHERE v = 0 OR c_custkey % 4 = 0
+        UNION ALL SELECT 'custom_activities_raw', 'object', 'JSON_OBJECT', 'string', count(*) FROM part
         UNION ALL SELECT 'leads_raw', 'object', NULL, NULL, count(*) FROM lead_rows""",
 )
 def json_shape_profile(c: Crm) -> DataFrame:
     tables = {
         "lead_activities_raw": (c.activities_raw, "data"),
         "close_crm_users_raw": (c.raw("close_crm_users_raw"), "JSON_OBJECT"),
+        "custom_activities_raw": (c.raw("custom_activities_raw"), "JSON_OBJECT"),
         "leads_raw": (c.raw("leads_raw"), None),
     }
     return profile.json_shape_profile(tables)
 
 
+#: Key paths of activities by the flat column that fills them; the rest is text.
+ACTIVITY_PATHS = {
+    **{k: k for k in ("lead_id", "custom_activity_type_id", "user_id", "status", "title", "note", "sequence_name")},
+    "id": "activity_id",
+    "_type": "activity_type",
+    "activity_at": "coalesce(CAST(activity_at AS VARCHAR), '')",
+    "date_created": "activity_created_at",
+    "date_updated": "activity_updated_at",
+    **{f"custom.{i}": column for column, i in crm.CUSTOM_KEYS.items()},
+    f"custom.{crm.CONTRACT_FIELD}": "contract_text",
+}
+LEAD_PATHS = {
+    "id": "lead_id", "name": "lead_name", "display_name": "display_name", "status_id": "status_id",
+    "status_label": "status_label", "date_created": "lead_created_at", "date_updated": "lead_updated_at",
+    "created_by": "'user_1'",
+}
+
+
+def _path_counts(table: str, prefix: str, paths: dict[str, str], source: str, kind: str = "string") -> list[str]:
+    return [
+        f"SELECT '{table}' AS table_name, '{prefix}{path}' AS key_path, '{kind}' AS type, count({column}) AS occurrences FROM {source}"
+        for path, column in paths.items()
+    ]
+
+
+NUMBER_PATHS = {f"custom.{crm.CASH_FIELD}": "cash_cents", f"custom.{crm.EXTRA_FIELD}": "extra_cents"}
+OBJECTION_ITEMS = "(SELECT len(CAST(json_extract(objections, '$[*]') AS VARCHAR[])) AS n FROM act WHERE objections LIKE '[%')"
+SHAPES = [
+    *_path_counts("leads_raw", "", LEAD_PATHS, "lead_rows"),
+    *_path_counts("leads_raw", "", {"": "*"}, "lead_rows", "object"),
+    *_path_counts("close_crm_users_raw", "", {"": "*"}, "user_texts", "object"),
+    *_path_counts("close_crm_users_raw", "", {"JSON_OBJECT": "*"}, "user_texts"),
+    *_path_counts("custom_activities_raw", "", {"": "*"}, "part", "object"),
+    *_path_counts("custom_activities_raw", "", {"JSON_OBJECT": "*"}, "part"),
+    *_path_counts("lead_activities_raw", "", {"": "*"}, WRAPPERS, "object"),
+    *_path_counts("lead_activities_raw", "", {"data": "*"}, WRAPPERS, "array"),
+    *_path_counts("lead_activities_raw", "", {"data[]": "*"}, "act", "object"),
+    *_path_counts("lead_activities_raw", "data[].", ACTIVITY_PATHS, "act"),
+    *_path_counts("lead_activities_raw", "data[].", NUMBER_PATHS, "act", "number"),
+    *[
+        part
+        for kind, first in (("array", "["), ("string", '"'))
+        for part in _path_counts(
+            "lead_activities_raw",
+            "data[].",
+            {f"custom.{crm.OBJECTIONS_FIELD}": "*"},
+            f"(SELECT * FROM act WHERE objections LIKE '{first}%')",
+            kind,
+        )
+    ],
+]
+
+
+@query(
+    "document_shapes",
+    "WITH user_texts AS (SELECT c_custkey FROM customer UNION ALL SELECT c_custkey FROM customer WHERE c_custkey % 4 = 0) "
+    "SELECT * FROM (" + "\nUNION ALL\n".join(SHAPES) + ") WHERE occurrences > 0",
+)
+def document_shapes(c: Crm) -> DataFrame:
+    """Key paths and types of all four feeds, nested keys included."""
+    feeds = {name: c.raw(name) for name in crm.RAW_TABLES}
+    return profile.document_shapes(feeds)
+
+
+def _first_rows(table: str, source: str, load: str, row: str, keys: str, kind: str, size: str, sample: str) -> str:
+    return (
+        f"SELECT * FROM (SELECT '{table}' AS table_name, {load} AS insert_date, {row} AS source_row_number, "
+        f"'object' AS raw_data_type, {keys} AS top_level_keys, {kind} AS data_key_type, {size} AS activity_count_in_row, "
+        f"{sample} AS json_object_sample FROM {source} ORDER BY 2, 3 LIMIT 5)"
+    )
+
+
+USER_STAMP = "TIMESTAMP '2026-05-16 07:30:00'"
+
+
+@query(
+    "raw_samples",
+    "\nUNION ALL\n".join(
+        [
+            _first_rows(
+                "lead_activities_raw", WRAPPERS, STAMP, "event_id + 1", "'data'", "'array'",
+                "CASE WHEN v = 0 AND event_id % 97 = 0 THEN 0 WHEN v = 0 AND event_id % 7 = 0 THEN 2 ELSE 1 END", "NULL",
+            ),
+            _first_rows(
+                "close_crm_users_raw", f"(SELECT *, {crm.duckdb_sql(crm.USER_TEXT)} AS t FROM (SELECT *, 0 AS v FROM customer))",
+                USER_STAMP, "c_custkey + 1", "'JSON_OBJECT'", "NULL", "NULL", "t[1:500]",
+            ),
+            _first_rows(
+                "custom_activities_raw", "meta", USER_STAMP, "p_partkey + 1", "'JSON_OBJECT'", "NULL", "NULL", "t[1:500]"
+            ),
+        ]
+    ),
+)
+def raw_samples(c: Crm) -> DataFrame:
+    """First rows of the feeds that nest: keys, size of the nested part, a short sample."""
+    nested = {"lead_activities_raw": "data", "close_crm_users_raw": "JSON_OBJECT", "custom_activities_raw": "JSON_OBJECT"}
+    found = [profile.top_level_keys(c.raw(t), t, nested=n) for t, n in nested.items()]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
+    return rows.withColumn("top_level_keys", F.array_join("top_level_keys", ","))
+
+
+#: Spark's types of the driver tables as the other engine names them.
+TYPE_NAMES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP",
+    "array<float>": "FLOAT[]",
+}
+CATALOGUED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings"]
+
+
+@query(
+    "table_catalog",
+    "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, 'EXTERNAL' AS table_type, CAST(row_number() OVER () AS INTEGER) AS ordinal_position, "
+        f"column_name, replace(column_type, 'TIMESTAMP_NS', 'TIMESTAMP') AS data_type, (SELECT count(*) FROM {t}) AS row_count "
+        f"FROM (DESCRIBE SELECT * FROM {t})"
+        for t in CATALOGUED
+    ),
+)
+def table_catalog(c: Crm) -> DataFrame:
+    """Inventory, columns, types and row counts of tables in the catalog."""
+    database = f"catalogued_{uuid.uuid4().hex}"
+    c.spark.sql(f"CREATE DATABASE {database}")
+    for t in CATALOGUED:
+        c.spark.catalog.createTable(f"{database}.{t}", f"{c.sf_dir}/{t}.parquet", "parquet")
+    found = profile.catalog_profile(c.spark, database)
+    named = F.col("data_type")
+    for spark_name, name in TYPE_NAMES.items():
+        named = F.when(F.col("data_type") == spark_name, name).otherwise(named)
+    return found.select(
+        "table_name", "table_type", "ordinal_position", "column_name", named.alias("data_type"), "row_count"
+    )
+
+
+@query(
+    "stage_listing",
+    f"SELECT CAST(CAST({STAMP} AS DATE) AS VARCHAR) AS load_date, TRUE AS has_files, TRUE AS has_bytes FROM {WRAPPERS} GROUP BY 1",
+)
+def stage_listing(c: Crm) -> DataFrame:
+    """Files waiting in the landing folder, by the load date of their folder."""
+    files = landing.list_files(c.spark, landed_folder(c))
+    load_date = F.regexp_extract("path", r"load_date=([0-9-]+)", 1).alias("load_date")
+    return files.groupBy(load_date).agg(
+        (F.count("*") > 0).alias("has_files"), (F.sum("length") > 0).alias("has_bytes")
+    )
+
+
 @query(
     "json_types",
     """SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'string' WHEN 1 THEN 'number' WHEN 2 THEN 'boolean'

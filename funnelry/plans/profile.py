@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelry.functions import documents, values
 from funnelry.operators import fields
 from funnelry.operators.skew import join_key_totals
-from funnelry.plans.quality import unpivot_roles
+from funnelry.plans.quality import row_counts, unpivot_roles
 
 # Fixed patterns: how activity types and fields are written in the metadata text.
 TYPE_ENTRY = r"'id': '(actitype_[^']+)'[^}]*?'name': '([^']*)'"
@@ -38,6 +40,23 @@ def schema_profile(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def catalog_profile(spark: SparkSession, database: str) -> DataFrame:
+    """Tables of a database with kind, columns, types and row counts.
+
+    Columns come from the catalog; rows are counted from file footers, no column is read.
+    """
+    inventory = table_inventory(spark, database)
+    tables = {r["table_name"]: spark.table(f"{database}.{r['table_name']}") for r in inventory.collect()}
+    if not tables:
+        return spark.createDataFrame(
+            [],
+            "table_name string, table_schema string, table_type string, ordinal_position int, "
+            "column_name string, data_type string, is_nullable boolean, row_count bigint",
+        )
+    columns = schema_profile(tables)
+    return inventory.join(columns, "table_name").join(row_counts(tables, "table_name"), "table_name")
+
+
 def top_level_keys(
     raw: DataFrame, table: str, rows: int = 5, nested: str | None = None
 ) -> DataFrame:
@@ -63,6 +82,48 @@ def top_level_keys(
     return sample.select(*columns)
 
 
+def _paths(document: Column, prefix: str | Column, depth: int) -> Column:
+    """Path and type of everything below a document, down to some levels, as an array."""
+    nothing = F.array().cast("array<struct<path:string,type:string>>")
+
+    def entry(path: Column, value: Column, below: str) -> Column:
+        own = F.array(F.struct(path.alias("path"), documents.type_name(value).alias("type")))
+        if depth == 1:
+            return own
+        return F.concat(own, _paths(value, F.concat(path, F.lit(below)), depth - 1))
+
+    head = F.lit(prefix) if isinstance(prefix, str) else prefix
+    keys = F.transform(
+        F.map_entries(documents.entries(document)),
+        lambda e: entry(F.concat(head, e["key"]), e["value"], "."),
+    )
+    # Elements share one path: that of the array, with brackets in place of the last dot.
+    bare = F.regexp_replace(head, r"\.$", "")
+    items = F.transform(
+        documents.items(document), lambda x: entry(F.concat(bare, F.lit("[]")), x, ".")
+    )
+    return F.coalesce(F.flatten(F.coalesce(keys, items)), nothing)
+
+
+def document_shapes(raw_tables: dict[str, DataFrame], depth: int = 3) -> DataFrame:
+    """How often each key path occurs with each type, nested keys included, in all feeds.
+
+    ``a.b`` is a key of an object, ``a[]`` an element of an array; the empty path is the
+    document itself. Counts are merged from partial ones of every task: one pass over the
+    feeds, and a row of each path and type is all that is shuffled.
+    """
+    feeds = [df.select(F.lit(n).alias("table_name"), "raw_data") for n, df in raw_tables.items()]
+    rows = reduce(DataFrame.unionByName, feeds)
+    whole = F.array(
+        F.struct(F.lit("").alias("path"), documents.type_name("raw_data").alias("type"))
+    )
+    below = _paths(F.col("raw_data"), "", depth)
+    found = rows.select("table_name", F.explode(F.concat(whole, below)).alias("x"))
+    return found.groupBy("table_name", F.col("x.path").alias("key_path"), F.col("x.type").alias("type")).agg(
+        F.count("*").alias("occurrences")
+    )
+
+
 def json_shape_profile(raw_tables: dict[str, tuple[DataFrame, str | None]]) -> DataFrame:
     """Row counts by document type and by type of one nested key."""
     shapes = None
