@@ -34,7 +34,6 @@ HEADLINE = [
     "role_coverage",
     "duplicate_summary",
     "sale_source_compare",
-    "multi_distinct",
     "cdc_classify",
     "upsert_latest",
     "executive_kpis",

@@ -16,7 +16,7 @@ from funnelry.sources.seeds import packaged_rows
 
 LOADS = [dt.datetime(2026, 5, 16, 7, 30), dt.datetime(2026, 5, 17, 7, 30)]
 
-# Type and field ids of the packaged seeds, by the name used below.
+# Type and field ids of the packaged seeds. The activity names of the seeds.
 TYPES = {r["custom_activity_type_name"]: r["custom_activity_type_id"] for r in packaged_rows("custom_activity_type_map")}
 TRIAGE, TRIAGE_FOLLOW = TYPES["3) Triage Call"], TYPES["4) Triage Call Follow Up"]
 PROSPECT, PROSPECT_FOLLOW = TYPES["1) Prospecting Activity"], TYPES["2) Prospecting Follow Up"]

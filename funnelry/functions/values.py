@@ -41,10 +41,17 @@ def full_name(first: str, last: str) -> Column:
     )
 
 
+# Fixed patterns: how list text is written (brackets around, quotes, commas between) and
+# what an amount may consist of.
+LIST_ENDS, LIST_QUOTE, LIST_COMMA = r"^\[|\]$", '"', r"\s*,\s*"
+NOT_AMOUNT = "[^0-9.-]"
+
+
 def split_list_text(value: str | Column) -> Column:
     """Array-like text such as ``["a", "b"]`` or ``a, b`` as its trimmed parts."""
-    bare = F.regexp_replace(F.regexp_replace(value, r"^\[|\]$", ""), '"', "")
-    return F.transform(F.split(F.trim(bare), r"\s*,\s*"), lambda part: F.trim(part))
+    inner = F.regexp_replace(value, LIST_ENDS, "")
+    bare = F.trim(F.regexp_replace(inner, LIST_QUOTE, ""))
+    return F.transform(F.split(bare, LIST_COMMA), lambda part: F.trim(part))
 
 
 # --- money and ratios ---------------------------------------------------------------
@@ -52,7 +59,7 @@ def split_list_text(value: str | Column) -> Column:
 
 def money(value: str | Column) -> Column:
     """Amount text with currency signs and separators removed; NULL if no number is left."""
-    digits = F.nullif(F.regexp_replace(value, "[^0-9.-]", ""), F.lit(""))
+    digits = F.nullif(F.regexp_replace(value, NOT_AMOUNT, ""), F.lit(""))
     return digits.try_cast(MONEY)
 
 
