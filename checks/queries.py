@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from checks import crm
 from checks.oracle import CTES, NY, average, money, ratio, sql
 from funnelry.functions import documents, repair, values
-from funnelry.operators import changes, fields
+from funnelry.operators import changes, fields, snapshots
 from funnelry.operators.latest import RANK, latest_by
 from funnelry.plans import (
     audit,
@@ -2367,6 +2367,45 @@ def cdc_classify(c: Crm) -> DataFrame:
     return found.select("o_orderkey", "change_type")
 
 
+def _snapshot_sql(price: str, present: str) -> str:
+    key = "CASE WHEN o_orderkey % 97 <> 0 THEN o_orderkey END"
+    return (
+        f"SELECT {key} AS order_key, o_orderkey AS version, {price} AS price, o_orderstatus FROM orders WHERE {present} "
+        f"UNION ALL SELECT {key}, -1, o_totalprice + 5, o_orderstatus FROM orders "
+        f"WHERE {present} AND o_orderkey % 5 = 0 AND o_orderkey % 97 <> 0"
+    )
+
+
+#: Versions of keys that come twice and of a NULL key; some repriced, new or missing.
+SNAPSHOTS = {
+    "before": _snapshot_sql("o_totalprice", "o_orderkey % 1753 <> 0"),
+    "after": _snapshot_sql(
+        "CASE WHEN o_orderkey % 1009 = 0 OR o_orderkey % 97 = 0 THEN o_totalprice + 1 ELSE o_totalprice END",
+        "o_orderkey % 1511 <> 0",
+    ),
+}
+
+
+@query(
+    "cdc_snapshots",
+    f"""WITH b AS (SELECT * FROM ({SNAPSHOTS["before"]}) QUALIFY row_number() OVER (PARTITION BY order_key ORDER BY version DESC) = 1),
+             a AS (SELECT * FROM ({SNAPSHOTS["after"]}) QUALIFY row_number() OVER (PARTITION BY order_key ORDER BY version DESC) = 1)
+        SELECT coalesce(a.order_key, b.order_key) AS order_key,
+               CASE WHEN b.version IS NULL THEN 'insert' WHEN a.version IS NULL THEN 'missing' ELSE 'update' END AS change_type
+        FROM b FULL OUTER JOIN a ON coalesce(a.order_key, -1) = coalesce(b.order_key, -1)
+        WHERE a.version IS NULL OR b.version IS NULL OR a.price <> b.price""",
+)
+def cdc_snapshots(c: Crm) -> DataFrame:
+    """Changes between two stored snapshots, read from the buckets that differ."""
+    store = Store(c.spark, scratch(c.spark, "snapshots"))
+    for name, text in SNAPSHOTS.items():
+        rows = c.spark.sql(text.replace("FROM orders ", "FROM {orders} "), orders=c.table("orders"))
+        snapshots.keep_snapshot(
+            store, name, rows, ["order_key"], ["price", "o_orderstatus"], ["version"], buckets=32
+        )
+    return snapshots.snapshot_changes(store, "before", "after", ["version"])
+
+
 @query(
     "upsert_latest",
     f"""SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from checks import crm
 from checks.queries import Crm
-from funnelry.operators import counters
+from funnelry.operators import counters, snapshots
 from funnelry.plans import gold, increments, silver
 from funnelry.sources.tables import stored
 from funnelry.sources.versions import Conflict, Store
@@ -207,3 +207,28 @@ def test_a_load_killed_midway_leaves_everything_as_it_was(spark, tmp_path, full,
     assert {n: rows_of(increments.read_report(store, n)) for n in increments.REPORTS} == was
     monkeypatch.undo()
     assert increments.apply_activities(store, second, 1, c.seeds, buckets=4)
+
+
+def test_snapshots_are_compared_where_they_differ(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    schema = "k string, at int, v string"
+    before = [(f"k{i}", 1, "x") for i in range(300)] + [(None, 1, "n"), ("k1", 0, "old"), ("k1", 0, "old")]
+    after = [(k, at, "y" if k == "k7" else v) for k, at, v in before if k != "k9"] + [("new", 1, "z"), (None, 2, "m")]
+    for name, rows in (("before", before), ("after", after), ("again", before[::-1])):
+        df = spark.createDataFrame(rows, schema)
+        snapshots.keep_snapshot(store, name, df, ["k"], ["v"], ["at"], buckets=64)
+    assert snapshots.differing_buckets(store, "before", "again") == set()
+    assert snapshots.snapshot_changes(store, "before", "again", ["at"]).count() == 0
+    buckets = snapshots.differing_buckets(store, "before", "after")
+    assert 1 <= len(buckets) <= 4
+    changes = snapshots.snapshot_changes(store, "before", "after", ["at"])
+    expected = {("k7", "update"), ("k9", "missing"), ("new", "insert"), (None, "update")}
+    assert set(map(tuple, changes.collect())) == expected
+    tables = store.manifest().tables
+    allowed = {f.rsplit("/", 1)[1] for n in ("before", "after") for b in buckets for f in tables[n].files.get(b, ())}
+    assert {f.rsplit("/", 1)[1] for f in changes.inputFiles()} <= allowed
+    # A row more of the same content is a difference, though no change of its key.
+    more = spark.createDataFrame([*before, ("k1", 0, "old")], schema)
+    snapshots.keep_snapshot(store, "more", more, ["k"], ["v"], ["at"], buckets=64)
+    assert len(snapshots.differing_buckets(store, "before", "more")) == 1
+    assert snapshots.snapshot_changes(store, "before", "more", ["at"]).count() == 0
