@@ -33,16 +33,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     without id is kept only where its group has no id. Texts without words are linked to
     nothing and all stay. Columns of any name and type are passed on.
     """
-    whole = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text")
+    whole = docs.select(F.struct(*docs.columns).alias("doc"))
     keyed = stored(whole.withColumn("row", F.monotonically_increasing_id()), "keyed")
-    found = jaccard_components(keyed.select("row", "text"), "row").select(
+    found = jaccard_components(keyed.select("row", "doc.text"), "row").select(
         F.col("doc_id").alias("row"), F.col("component_id").alias("group")
     )
     plain = [f.name for f in docs.schema if isinstance(f.dataType, T.AtomicType)]
-    rest = [F.col(f"doc.{c}") for c in plain if c not in ("doc_id", "text")]
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text", *rest, "row")
-    first = keyed.join(found, "row").groupBy("group").agg(F.min_by("doc", order).alias("doc"))
-    return first.select("doc.*")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text") and c in plain]
+    # Each column travels once, in the order of rows itself; those without order go beside it.
+    ordered = ["doc_id", "text", *rest]
+    order = F.struct(
+        F.col("doc.doc_id").isNull(),
+        *[F.col(f"doc.{c}").alias(f"c{i}") for i, c in enumerate(ordered)],
+        "row",
+    )
+    best = [F.min(order).alias("best")]
+    others = [c for c in docs.columns if c not in ordered]
+    best += [F.min_by(F.col(f"doc.{c}"), order).alias(f"o{i}") for i, c in enumerate(others)]
+    first = keyed.join(found, "row").groupBy("group").agg(*best)
+    places = {c: f"best.c{i}" for i, c in enumerate(ordered)}
+    places |= {c: f"o{i}" for i, c in enumerate(others)}
+    return first.select(*[F.col(places[c]).alias(c) for c in docs.columns])
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
