@@ -7,20 +7,20 @@ from funnelry.llm.quality_rules import STOP_WORDS
 _WORD = r"[^\x20\x09-\x0D]+"
 
 OP3 = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT q.r, q.vec_id AS query_id, c.vec_id AS vec_id,
     CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM v q JOIN v c ON c.vec_id <> q.vec_id
+  FROM v q JOIN v c ON c.r <> q.r
   WHERE q.vec_id % 50 = 0
-), r AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS n FROM s
 )
-SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 5
 """
 
 OP8 = f"""

@@ -19,18 +19,29 @@ from pyspark.sql.window import Window
 
 from funnelry.sources.tables import stored
 
-#: Width of an impact class, vectors and queries of a block.
-STEP, VECTORS, QUERIES = 8, 8192, 512
+#: Least width of an impact class and classes on either side of 0; vectors of a block,
+#: queries of a block, and query blocks that pass by one copy of an index.
+STEP, CLASSES, VECTORS, QUERIES, PASSING = 8, 128, 8192, 512, 64
 #: Shares of all postings after which the proof is tried, and the share of vectors that is
 #: cheaper to rescore than to go on with.
 STAGES, FEW = (0.4, 0.65, 0.85, 1.0), 1 / 16
+#: Tasks of the search at most; beyond it a task takes several indexes in turn.
+TASKS = 1 << 14
+#: Largest sum of products that 64-bit integers, and doubles, hold exactly.
+_LONG, _EXACT = 2.0**62, 2.0**52
 
 
 class Index:
-    """Segments of a block: component, impact class, and the vectors that have them."""
+    """Segments of a block: component, impact class, and the vectors that have them.
+
+    Vectors hold integers as doubles. The classes' width is a power of two that follows the
+    largest component, so that a component and its class differ by half a width at most.
+    """
 
     def __init__(self, vectors: np.ndarray) -> None:
-        level = np.rint(vectors / STEP).astype(np.int64)
+        largest = np.abs(vectors).max(initial=0)
+        self.step = max(float(STEP), 2.0 ** np.ceil(np.log2(max(1.0, largest / CLASSES))))
+        level = np.rint(vectors / self.step)
         row, dim = np.nonzero(level)
         value = level[row, dim]
         order = np.lexsort((row, value, dim))
@@ -40,20 +51,28 @@ class Index:
         new[1:] = (dim[1:] != dim[:-1]) | (value[1:] != value[:-1])
         self.starts = np.flatnonzero(new)
         self.ends = np.append(self.starts[1:], len(dim))
-        self.dims, self.impacts = dim[self.starts], value[self.starts] * STEP
+        self.dims, self.impacts = dim[self.starts], value[self.starts] * self.step
 
     def best(
         self, query: np.ndarray, vectors: np.ndarray, allowed: np.ndarray, k: int
     ) -> np.ndarray:
         """Rows that may be among the k best: all that are, and few others."""
-        gain = query[self.dims] * self.impacts
+        others = np.flatnonzero(allowed)
+        with np.errstate(over="ignore", invalid="ignore"):
+            gain = query[self.dims] * self.impacts
+            reach = np.abs(query) @ np.abs(vectors).max(axis=0, initial=0)
+        if len(others) <= k or not np.isfinite(reach):
+            return others
         order = np.argsort(-np.abs(gain), kind="stable")
         sizes = (self.ends - self.starts)[order]
         done = np.cumsum(sizes)
         total = done[-1] if len(done) else 0
         scores = np.zeros(len(vectors))
-        rounding = np.abs(query).sum() * (STEP / 2)
+        rounding = np.abs(query).sum() * (self.step / 2)
+        # What adding doubles may lose: each vector gets a term of each component at most.
+        rounding += (2 * reach + rounding) * (len(query) + 8) * 2.0**-52
         at, few = 0, max(64, int(len(vectors) * FEW))
+        possible = others
         for share in STAGES:
             to = int(np.searchsorted(done, share * total, side="left")) + 1
             now = order[at:to]
@@ -61,8 +80,7 @@ class Index:
                 rows = np.concatenate(
                     [self.rows[a:b] for a, b in zip(self.starts[now], self.ends[now], strict=True)]
                 )
-                weights = np.repeat(gain[now].astype(float), sizes[at:to])
-                scores += np.bincount(rows, weights, len(scores))
+                scores += np.bincount(rows, np.repeat(gain[now], sizes[at:to]), len(scores))
             at = max(at, to)
             # A vector has one segment at most of each component.
             rest = np.zeros(len(query))
@@ -70,62 +88,104 @@ class Index:
             np.maximum.at(rest, self.dims[left], np.abs(gain[left]))
             error = rounding + rest.sum()
             seen = np.where(allowed, scores, -np.inf)
-            if allowed.sum() <= k:
-                return np.flatnonzero(allowed)
             kth = np.partition(seen, len(seen) - k)[len(seen) - k]
             possible = np.flatnonzero(seen + error >= kth - error)
             if len(possible) <= few or at >= len(order):
-                return possible
+                break
         return possible
 
 
-def _integers(vector: object) -> np.ndarray | None:
-    """floor(256 * x) of each component, within 32 bits; None if one is null or not finite."""
-    if vector is None:
-        return None
+def _components(vector: object) -> np.ndarray | None:
+    """The components as doubles; None if one is null or not finite."""
     values = np.array([np.nan if x is None else x for x in vector], float)
-    if not np.isfinite(values).all():
-        return None
-    return np.clip(np.floor(values * 256), -(2**31), 2**31 - 1).astype(np.int64)
+    return values if np.isfinite(values).all() else None
+
+
+def _whole(values: np.ndarray) -> np.ndarray:
+    """floor(256 * x), still as doubles, which hold it exactly; infinite if too large."""
+    with np.errstate(over="ignore"):
+        return np.floor(values * 256)
+
+
+def _as_int(x: float) -> int:
+    return int(x) * 256 if abs(x) >= _EXACT else int(np.floor(x * 256))
+
+
+def _products(vectors: np.ndarray, query: np.ndarray) -> list[int]:
+    """Exact integer inner products of raw rows with a raw query."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        rows, asked = _whole(vectors), _whole(query)
+        reach = (np.abs(rows) @ np.abs(asked)).max(initial=0)
+    largest = max(np.abs(rows).max(initial=0), np.abs(asked).max(initial=0))
+    if reach < _LONG and largest < _LONG:
+        return (rows.astype(np.int64) @ asked.astype(np.int64)).tolist()
+    asked = [_as_int(x) for x in query]
+    return [sum(_as_int(x) * y for x, y in zip(row, asked, strict=True)) for row in vectors]
+
+
+def _placed(score: int) -> tuple[int | None, int, str]:
+    """A score as 64 bits, or null with its side (1 above, -1 below) and a text in its order."""
+    if -(2**63) <= score < 2**63:
+        return score, 0, ""
+    digits = f"{abs(score):x}"
+    text = f"{len(digits):08x}{digits}"
+    if score > 0:
+        return None, 1, text
+    return None, -1, text.translate(str.maketrans("0123456789abcdef", "fedcba9876543210"))
 
 
 def _packed(rows: pd.DataFrame) -> pd.DataFrame:
-    """A block as one row: ids, and the vectors, padded with zeros to one length."""
-    vectors = [_integers(v) for v in rows["vector"]]
+    """A block as one row: row numbers, ids, and vectors padded with zeros to one length."""
+    vectors = [_components(v) for v in rows["vector"]]
     kept = [i for i, v in enumerate(vectors) if v is not None]
     width = max((len(vectors[i]) for i in kept), default=0)
-    matrix = np.zeros((len(kept), width), np.int32)
+    matrix = np.zeros((len(kept), width))
     for at, i in enumerate(kept):
         matrix[at, : len(vectors[i])] = vectors[i]
-    ids = rows["vec_id"].to_numpy(np.int64)[kept]
+    packed = {c: [rows[c].to_numpy(np.int64)[kept].tobytes()] for c in ("rows", "ids")}
     block = {"block": [rows["block"].iloc[0]], "width": [width]}
-    return pd.DataFrame(block | {"ids": [ids.tobytes()], "vectors": [matrix.tobytes()]})
+    return pd.DataFrame(block | packed | {"vectors": [matrix.tobytes()]})
 
 
-def _unpacked(ids: bytes, vectors: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
-    names = np.frombuffer(ids, np.int64)
-    return names, np.frombuffer(vectors, np.int32).reshape(len(names), width).astype(np.int64)
+def _unpacked(r: tuple, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rows, ids = np.frombuffer(r.rows, np.int64), np.frombuffer(r.ids, np.int64)
+    matrix = np.frombuffer(r.vectors).reshape(len(rows), r.width)
+    return rows, ids, np.pad(matrix, ((0, 0), (0, max(0, width - r.width))))
 
 
-def _widened(matrix: np.ndarray, width: int) -> np.ndarray:
-    return np.pad(matrix, ((0, 0), (0, width - matrix.shape[1])))
+_FOUND = "query_row long, query_id long, vec_id long, score long, side int, digits string"
 
 
 def _searched(k: int):
+    """Takes indexes, each followed by the blocks of queries that pass by it."""
+
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, index, vectors = None, None, np.zeros((0, 0))
         for batch in batches:
             for r in batch.itertuples(index=False):
-                ids, vectors = _unpacked(r.ids, r.vectors, r.width)
-                names, queries = _unpacked(r.q_ids, r.q_vectors, r.q_width)
-                width = max(r.width, r.q_width)
-                vectors, queries = _widened(vectors, width), _widened(queries, width)
-                index, found = Index(vectors), []
-                for name, query in zip(names, queries, strict=True):
-                    rows = index.best(query, vectors, ids != name, k)
-                    scores = vectors[rows] @ query
-                    top = np.lexsort((ids[rows], -scores))[:k]
-                    found += [(name, ids[rows[i]], scores[i]) for i in top]
-                yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+                if r.asked < 0:
+                    held, index = r, None
+                    continue
+                if held is None or (held.block, held.turn) != (r.block, r.turn):
+                    # No vector was dealt to this block.
+                    continue
+                rows, ids, plain = _unpacked(held, r.width)
+                if index is None or plain.shape[1] != vectors.shape[1]:
+                    vectors = _whole(plain)
+                    index = Index(vectors) if np.isfinite(vectors).all() else None
+                numbers, names, queries = _unpacked(r, plain.shape[1])
+                found = []
+                for number, name, query in zip(numbers, names, queries, strict=True):
+                    allowed, asked = rows != number, _whole(query)
+                    some = np.flatnonzero(allowed)
+                    if index is not None and np.isfinite(asked).all():
+                        some = index.best(asked, vectors, allowed, k)
+                    scored = zip(_products(plain[some], query), ids[some].tolist(), strict=True)
+                    best = sorted(scored, key=lambda x: (-x[0], x[1]))[:k]
+                    found += [(number, name, i, *_placed(s)) for s, i in best]
+                columns = [x.split()[0] for x in _FOUND.split(", ")]
+                out = pd.DataFrame(found, columns=columns)
+                yield out.astype({"score": "Int64"})
 
     return search
 
@@ -133,31 +193,42 @@ def _searched(k: int):
 def top_k(df: DataFrame, vec_id: str, vector: str, every: int, k: int = 5) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the k best of every query.
 
-    Queries are the rows whose id is divisible by ``every``; all rows but the query's own id
-    are searched. Ties go to the smaller id; a query with fewer others gets all of them.
+    Queries are the rows whose id is divisible by ``every``; all rows but the query's own are
+    searched. Rows that repeat an id are rows of their own, as queries too: each such query
+    has its ranks. Ties go to the smaller id; a query with fewer others gets all of them.
     Vectors that are null or hold null or non-finite components, and rows without id, take
-    no part. Of rows that repeat an id the smallest vector counts. A shorter vector counts
-    as padded with zeros; integers beyond 32 bits are cut to them.
+    no part. A shorter vector counts as padded with zeros. Scores are exact at any size and
+    ranked so; one that does not fit 64 bits is null.
     """
     rows = df.filter(F.col(vec_id).isNotNull() & F.col(vector).isNotNull())
     good = ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = rows.filter(good).groupBy(F.col(vec_id).cast("long").alias("vec_id"))
-    rows = stored(rows.agg(F.min(vector).alias("vector")), "vectors")
-    asked = rows.filter(F.col("vec_id") % every == 0)
-    schema = "block long, width int, ids binary, vectors binary"
+    named = rows.filter(good).select(
+        F.monotonically_increasing_id().alias("rows"),
+        F.col(vec_id).cast("long").alias("ids"),
+        F.col(vector).alias("vector"),
+    )
+    rows = stored(named, "vectors")
+    asked = rows.filter(F.col("ids") % every == 0)
+    schema = "block long, width int, rows binary, ids binary, vectors binary"
 
     def blocks(part: DataFrame, size: int) -> tuple[DataFrame, int]:
         many = max(1, -(-part.count() // size))
-        dealt = part.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(many)))
+        dealt = part.withColumn("block", F.pmod(F.xxhash64("rows"), F.lit(many)))
         return dealt.groupBy("block").applyInPandas(_packed, schema), many
 
-    index, _ = blocks(rows, VECTORS)
-    queries, many = blocks(asked, QUERIES)
-    queries = queries.toDF("q_block", "q_width", "q_ids", "q_vectors")
-    # Each block of the index meets each block of the stated queries.
-    meets = index.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(many - 1))))
-    pairs = meets.join(queries, "q_block").repartition("block", "q_block")
-    found = pairs.mapInPandas(_searched(k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    index, many = blocks(rows, VECTORS)
+    queries, asking = blocks(asked, QUERIES)
+    turns = -(-asking // PASSING)
+    # Blocks of the stated queries go to the indexes, which are the larger side.
+    copies = index.withColumns(
+        {"asked": F.lit(-1).cast("long"), "turn": F.explode(F.sequence(F.lit(0), F.lit(turns - 1)))}
+    )
+    passing = queries.withColumns(
+        {"asked": F.col("block"), "turn": F.floor(F.col("block") / PASSING).cast("int")}
+    ).withColumn("block", F.explode(F.expr(f"sequence(0L, {many - 1}L)")))
+    both = copies.unionByName(passing).repartition(min(TASKS, many * turns), "block", "turn")
+    found = both.sortWithinPartitions("block", "turn", "asked").mapInPandas(_searched(k), _FOUND)
+    order = [F.desc("side"), F.desc("score"), F.desc("digits"), "vec_id"]
+    ranks = F.row_number().over(Window.partitionBy("query_row").orderBy(*order))
+    ranked = found.withColumn("rank", ranks).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

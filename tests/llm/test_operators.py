@@ -10,6 +10,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -18,7 +19,7 @@ import tiktoken
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from funnelry.llm import bpe, private_spans, url_globs
+from funnelry.llm import bpe, private_spans, topk, url_globs
 from funnelry.llm.components import components
 from funnelry.llm.cotraining import ROUNDS, SURE, _given, _moments, _newton, _views, cotrain, quality_scores
 from funnelry.llm.crf_language import forward_backward, learn, predict_column, words_of
@@ -148,6 +149,26 @@ def test_top_k(spark):
     assert {tuple(r) for r in out} == expected and len(out) == len(expected)
     few = top_k(df.filter("vec_id in (0, 1, 2)"), "vec_id", "embedding", 50).collect()
     assert [(r["query_id"], r["rank"]) for r in few] == [(0, 1), (0, 2)]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_top_k_of_repeated_ids_and_large_components(spark, monkeypatch, small):
+    if small:
+        for name, value in {"VECTORS": 7, "QUERIES": 2, "PASSING": 1}.items():
+            monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(3)
+    rows = [(int(i), rng.normal(0, s, 4).tolist()) for i, s in zip(rng.integers(0, 20, 60), [0.2, 1e7, 1e16] * 20, strict=True)]
+    rows += [(0, [1.0, 0.0, 0.0, 0.0]), (1, [1.0, 0.0]), (1, [3.0]), (2, [1e7, 0.0]), (10, [1e300, 1e305]), (11, [-1e300, 1.0]), (10, [1e308] * 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    whole = [(i, [int(Fraction(x) * 256 // 1) for x in v] + [0] * (4 - len(v))) for i, v in rows]
+    expected = Counter()
+    for at, (q, x) in enumerate(whole):
+        if q % 5 == 0:
+            others = [(-sum(a * b for a, b in zip(x, v, strict=True)), i) for j, (i, v) in enumerate(whole) if j != at]
+            for rank, (s, i) in enumerate(sorted(others)[:5], 1):
+                expected[q, rank, i, -s if -(2**63) <= -s < 2**63 else None] += 1
+    assert Counter(tuple(r) for r in top_k(df, "vec_id", "embedding", 5).collect()) == expected
+    assert top_k(df.limit(0), "vec_id", "embedding", 5).count() == 0
     assert top_k(df.limit(0), "vec_id", "embedding", 50).count() == 0
 
 
