@@ -3,8 +3,8 @@
 A word's label depends on affixes, character n-grams and a lexicon, and on its neighbours'
 labels through learned transitions. The field is trained on code-switched sequences spliced
 from labelled texts. Forward-backward gives the labels' probabilities for each word; a text's
-language is the one with the largest sum of them. Chains end after ``CHAIN`` words, so that
-texts of any length take bounded memory.
+language is the one with the largest sum of them. Long texts are worked on in parts of ``CHAIN``
+words, all at once; messages pass from part to part, so that the result is that of one chain.
 """
 
 from __future__ import annotations
@@ -21,12 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-#: The bounded sample that the field is trained on: languages (the most frequent), texts of
-#: each and words of a text; features are kept if seen so often, up to so many.
-LANGUAGES, TEXTS, WORDS = 64, 200, 300
+#: The bounded sample that the field is trained on: texts of a language, words of a text, and
+#: characters read for these words. All languages are learned; where they are many, texts and
+#: words shrink so that words times languages stay below SAMPLE (see :func:`bounds`).
+TEXTS, WORDS, CHARS, SAMPLE = 200, 300, 4000, 1 << 24
+#: Features are kept if seen so often, up to so many (fewer beyond 64 languages).
 LEAST_SEEN, FEATURES, ROUNDS = 4, 60_000, 40
-CHAIN = 128
-#: Words labelled at once, and words whose features are remembered.
+CHAIN = 1024
+#: Words labelled at once, and words whose scores are remembered, for up to 4 languages; fewer
+#: for more.
 AT_ONCE, REMEMBERED = 400_000, 200_000
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -36,48 +39,94 @@ _EDGE = "\"'.,;:!?()[]{}<>|*#$%&-_«»„“”…"
 def words_of(text: str) -> list[str]:
     """Lower-cased words that hold a letter, without marks at their ends."""
     words = (w.strip(_EDGE) for w in text.lower().split())
-    return [w for w in words if w.isalpha() or _LETTER.search(w)]
+    # Numerals that are no digits match the pattern but are no letters.
+    return [
+        w for w in words if w.isalpha() or (_LETTER.search(w) and any(map(str.isalpha, w)))
+    ]
 
 
 def features_of(word: str) -> list[str]:
     """Prefixes, suffixes, n-grams within the word's bounds, and the word itself."""
-    core = word[:24] if len(word) <= 24 else word[:12] + word[-12:]
-    found = [f"l{core}"]
-    found += [f"p{core[:k]}" for k in (1, 2, 3)]
-    found += [f"s{core[-k:]}" for k in (1, 2, 3)]
-    bound = f"^{core}$"
+    found = [f"l{word}"]
+    found += [f"p{word[:k]}" for k in (1, 2, 3)]
+    found += [f"s{word[-k:]}" for k in (1, 2, 3)]
+    bound = f"^{word}$"
     found += [bound[i : i + 2] for i in range(len(bound) - 1)]
     found += [bound[i : i + 3] for i in range(len(bound) - 2)]
     return found
 
 
+def _scaled(messages: np.ndarray) -> np.ndarray:
+    return messages / messages.sum(axis=-1, keepdims=True)
+
+
+def paths_through(scores: np.ndarray, moves: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Weight of all paths of each padded chain by first and last label, up to a factor."""
+    weight = np.exp(scores - scores.max(axis=2, keepdims=True))
+    step = np.exp(moves)
+    paths = np.eye(len(step)) * weight[:, :1]
+    for t in range(1, scores.shape[1]):
+        alive = lengths > t
+        now = (paths[alive] @ step) * weight[alive, t][:, None, :]
+        paths[alive] = now / now.sum(axis=(1, 2), keepdims=True)
+    return paths
+
+
+def messages_between(
+    paths: np.ndarray, counts: np.ndarray, moves: np.ndarray, start: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """What enters each part of a chain from the left and from the right.
+
+    ``counts`` parts belong to each chain, one after the other. Both are weights of labels, at
+    the part's first place before its score and at its last place.
+    """
+    step = np.exp(moves)
+    before = np.tile(np.exp(start), (len(paths), 1))
+    after = np.ones_like(before)
+    first = np.cumsum(counts) - counts
+    for k in range(1, counts.max(initial=0)):
+        at = first[counts > k] + k
+        ends = (before[at - 1][:, None, :] @ paths[at - 1])[:, 0]
+        before[at] = _scaled(ends @ step)
+    for k in range(counts.max(initial=0) - 1, 0, -1):
+        at = first[counts > k] + k
+        after[at - 1] = _scaled((paths[at] @ after[at][:, :, None])[:, :, 0] @ step.T)
+    return before, after
+
+
 def forward_backward(
-    scores: np.ndarray, moves: np.ndarray, start: np.ndarray, lengths: np.ndarray
+    scores: np.ndarray,
+    moves: np.ndarray,
+    start: np.ndarray,
+    lengths: np.ndarray,
+    before: np.ndarray | None = None,
+    after: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Label probabilities (chain, place, label) and expected transitions of padded chains."""
+    """Label probabilities (chain, place, label) and expected transitions of padded chains.
+
+    ``before`` and ``after`` are messages from the parts on both sides, if these are parts.
+    """
     chains, places, labels = scores.shape
     weight = np.exp(scores - scores.max(axis=2, keepdims=True))
     step = np.exp(moves)
     ahead = np.empty_like(weight)
-    ahead[:, 0] = np.exp(start) * weight[:, 0]
-    ahead[:, 0] /= ahead[:, 0].sum(axis=1, keepdims=True)
+    ahead[:, 0] = _scaled((np.exp(start) if before is None else before) * weight[:, 0])
     for t in range(1, places):
-        now = (ahead[:, t - 1] @ step) * weight[:, t]
-        ahead[:, t] = now / now.sum(axis=1, keepdims=True)
+        ahead[:, t] = _scaled((ahead[:, t - 1] @ step) * weight[:, t])
     back = np.ones((chains, labels))
     both, expected = np.empty_like(weight), np.zeros((labels, labels))
     for t in range(places - 1, -1, -1):
         # A chain that ended earlier starts anew from its own end.
-        back[lengths - 1 == t] = 1.0
-        now = ahead[:, t] * back
-        both[:, t] = now / now.sum(axis=1, keepdims=True)
+        ends = lengths - 1 == t
+        back[ends] = 1.0 if after is None else after[ends]
+        both[:, t] = _scaled(ahead[:, t] * back)
         if t:
             alive = lengths > t
             right = weight[:, t] * back
-            pair = ahead[alive, t - 1][:, :, None] * step * right[alive][:, None, :]
-            expected += (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-            back = right @ step.T
-            back /= back.sum(axis=1, keepdims=True)
+            left, right_ = ahead[alive, t - 1], right[alive]
+            whole = ((left @ step) * right_).sum(axis=1, keepdims=True)
+            expected += step * ((left / whole).T @ right_)
+            back = _scaled(right @ step.T)
     return both, expected
 
 
@@ -93,10 +142,13 @@ class Field:
     _known: dict[str, int] = field(default_factory=dict)
     _scores: list[np.ndarray] = field(default_factory=list)
 
+    def _fewer(self, number: int) -> int:
+        return number * 4 // max(4, len(self.languages))
+
     def word_scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Row of each word in a table of label scores, and the table."""
         fresh = list(dict.fromkeys(w for w in words if w not in self._known))
-        if len(self._known) + len(fresh) > REMEMBERED:
+        if len(self._known) + len(fresh) > self._fewer(REMEMBERED):
             self._known, self._scores = {}, []
             fresh = list(dict.fromkeys(words))
         if fresh:
@@ -121,7 +173,7 @@ class Field:
         for words in texts:
             some.append(words)
             held += len(words)
-            if held >= AT_ONCE:
+            if held >= self._fewer(AT_ONCE):
                 out += self._label(some)
                 some, held = [], 0
         return out + self._label(some)
@@ -136,19 +188,37 @@ class Field:
         starts = np.concatenate(
             [np.arange(a, b, CHAIN) for a, b in zip(begins[:-1], begins[1:], strict=True)]
         )
-        ends = np.append(starts[1:], len(flat))
-        lengths = ends - starts
-        result = np.empty((len(flat), len(self.languages)))
-        # Chains of similar length together, so that little is padded.
+        lengths = np.append(starts[1:], len(flat)) - starts
+        counts = -(-sizes // CHAIN)
+        # Parts of similar length together, so that little is padded.
         order = np.argsort(lengths, kind="stable")
-        for group in np.array_split(order, max(1, len(order) * CHAIN // AT_ONCE)):
-            if not len(group):
-                continue
-            width = int(lengths[group].max())
-            places = np.arange(width)
-            inside = places < lengths[group][:, None]
-            at = np.where(inside, starts[group][:, None] + places, starts[group][:, None])
-            both, _ = forward_backward(table[ids[at]], self.moves, self.start, lengths[group])
+
+        def padded(some: np.ndarray) -> Iterator[tuple]:
+            pieces = max(1, len(some) * CHAIN // self._fewer(AT_ONCE))
+            for group in np.array_split(some, pieces):
+                if len(group):
+                    places = np.arange(int(lengths[group].max()))
+                    inside = places < lengths[group][:, None]
+                    first = starts[group][:, None]
+                    at = np.where(inside, first + places, first)
+                    yield group, at, inside
+
+        several = np.repeat(counts > 1, counts)
+        labels = len(self.languages)
+        before, after = np.tile(np.exp(self.start), (len(starts), 1)), np.ones((len(starts), labels))
+        if several.any():
+            paths = np.empty((int(several.sum()), labels, labels))
+            row = np.cumsum(several) - 1
+            for group, at, _ in padded(order[several[order]]):
+                paths[row[group]] = paths_through(table[ids[at]], self.moves, lengths[group])
+            before[several], after[several] = messages_between(
+                paths, counts[counts > 1], self.moves, self.start
+            )
+        result = np.empty((len(flat), labels))
+        for group, at, inside in padded(order):
+            both, _ = forward_backward(
+                table[ids[at]], self.moves, self.start, lengths[group], before[group], after[group]
+            )
             result[at[inside]] = both[inside]
         return np.split(result, begins[1:-1])
 
@@ -185,7 +255,8 @@ def train(texts: list[tuple[str, list[str]]], rounds: int = ROUNDS) -> Field:
     seen = Counter(f for fs in held for f in fs)
     often = [(f, c) for f, c in seen.items() if c >= LEAST_SEEN or f[0] == "l"]
     often.sort(key=lambda x: (-x[1], x[0]))
-    rows = {f: i for i, (f, _) in enumerate(often[:FEATURES])}
+    most = FEATURES * 64 // max(64, len(languages))
+    rows = {f: i for i, (f, _) in enumerate(often[:most])}
     flat, counts = [], []
     for fs in held:
         known = [rows[f] for f in fs if f in rows] or [len(rows)]
@@ -233,18 +304,25 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 3 == 1
 
 
+def bounds(languages: int) -> tuple[int, int]:
+    """Texts of each of so many languages, and words of each text, that are trained on."""
+    words = SAMPLE // max(1, languages) ** 2
+    texts = min(TEXTS, max(1, words // WORDS))
+    return texts, min(WORDS, max(16, words // texts))
+
+
 def sample(df: DataFrame, doc_id: str, text: str, lang: str) -> list[tuple[str, list[str]]]:
     """The bounded training sample: labelled texts of small hashes, some words of each."""
     some = df.filter(
         F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(doc_id))
-    ).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(doc_id).alias("h"))
-    top = some.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    kept = [r["lang"] for r in top.collect()]
-    cut = some.filter(F.col("lang").isin(kept)).withColumn("text", F.left("text", F.lit(4000)))
+    ).select(
+        F.col(lang).alias("lang"), F.left(text, F.lit(CHARS)).alias("text"), F.xxhash64(doc_id).alias("h")
+    )
+    texts, words = bounds(some.select("lang").distinct().count())
     by_lang = Window.partitionBy("lang").orderBy("h", "text")
-    few = cut.withColumn("r", F.row_number().over(by_lang)).filter(F.col("r") <= TEXTS)
+    few = some.withColumn("r", F.row_number().over(by_lang)).filter(F.col("r") <= texts)
     rows = sorted(few.select("lang", "h", "text").collect())
-    return [(r["lang"], words_of(r["text"])[:WORDS]) for r in rows]
+    return [(r["lang"], words_of(r["text"])[:words]) for r in rows]
 
 
 PREDICTION = T.StructType().add("lang_pred", T.StringType()).add("score", T.DoubleType())

@@ -19,10 +19,10 @@ import tiktoken
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from funnelry.llm import bpe, private_spans, topk, url_globs
+from funnelry.llm import bpe, crf_language, private_spans, topk, url_globs
 from funnelry.llm.components import components
 from funnelry.llm.cotraining import ROUNDS, SURE, _given, _moments, _newton, _views, cotrain, quality_scores
-from funnelry.llm.crf_language import forward_backward, learn, predict_column, words_of
+from funnelry.llm.crf_language import Field, forward_backward, learn, predict_column, words_of
 from funnelry.llm.jaccard_join import jaccard_components, word_hashes
 from funnelry.llm.mixing import measured, mix_sources, repeat_rows
 from funnelry.llm.quality_rules import quality_rules
@@ -405,6 +405,39 @@ def test_language(spark):
     assert [tuple(r["x"]) for r in none] == [("und", 0.0)]
 
 
+@pytest.mark.parametrize("chain", [1, 3, 64])
+def test_long_texts_are_one_chain(monkeypatch, chain):
+    monkeypatch.setattr(crf_language, "CHAIN", chain)
+    monkeypatch.setattr(crf_language, "AT_ONCE", 150)
+    rng = np.random.default_rng(chain)
+    words = [f"w{chr(97 + i)}" for i in range(9)]
+    rows = {f"l{w}": i for i, w in enumerate(words)}
+    model = Field(["a", "b", "c"], rows, rng.normal(0, 3, (10, 3)), rng.normal(0, 2, (3, 3)), rng.normal(size=3))
+    texts = [rng.choice(words, n).tolist() for n in (0, 1, 3, 4, 65, 0, 700, 128, 7)]
+    for text, found in zip(texts, model.label(texts), strict=True):
+        assert found.shape == (len(text), 3)
+        if text:
+            scores = model.weights[[rows[f"l{w}"] for w in text]][None]
+            assert np.allclose(found, forward_backward(scores, model.moves, model.start, np.array([len(text)]))[0][0])
+
+
+def test_many_languages_numerals_and_long_words(spark):
+    lexicon = {f"x{k:02d}": [f"{chr(97 + k % 26)}{chr(97 + k // 26)}{v}" for v in ("no", "ta", "ri", "su")] for k in range(70)}
+    rows = [(100 * k + i, " ".join(RNG.choices(words, k=30)), lang) for k, (lang, words) in enumerate(lexicon.items()) for i in range(6)]
+    rows += [(9000 + i, t, None) for i, t in enumerate(["½ ² Ⅷ", "١٢", "²a"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = df.select("doc_id", "lang", predict_column(learn(df), df, F.col("text")).alias("x")).collect()
+    assert sum(r["x"]["lang_pred"] == r["lang"] for r in out) >= 0.95 * 420
+    und = {r["doc_id"]: r["x"]["lang_pred"] == "und" for r in out}
+    assert und[9000] and und[9001] and not und[9002]
+    assert crf_language.bounds(4) == (200, 300)
+    for n in (1, 70, 500, 5000):
+        texts, words = crf_language.bounds(n)
+        assert texts >= 1 and words >= 16 and (words == 16 or texts * words * n * n <= crf_language.SAMPLE)
+    long = "a" * 20 + "middle" + "b" * 20
+    assert {"mid", "ddl"} <= set(crf_language.features_of(long))
+
+
 def test_cotraining(spark):
     rng = random.Random(6)
     rows, marks = [], []
