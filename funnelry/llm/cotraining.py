@@ -1,8 +1,10 @@
 """Quality scores by co-training of a text view and a page-metadata view.
 
-Each view has a logistic classifier of its own. In every round each labels the unlabelled
-documents it is surest of, and these are added to the other's training rows. Held-back labels
-then calibrate both, and the calibrated views are combined to score all documents.
+Each view has a logistic classifier of its own. In every round each labels unlabelled
+documents that it is sure of, and these are added to the other's training rows. Held-back
+labels tell from which logit on a view is right so often that it may label; a view that is
+not says nothing. Held-back labels then calibrate both, and the calibrated views are combined
+to score all documents.
 
 All unlabelled rows take part, and stay on the executors: a round's cut-offs come from counts
 of logits, a fit from sums of gradients and Hessians. No row's pseudo-labels are stored; they
@@ -27,8 +29,11 @@ from funnelry.sources.tables import stored
 
 #: The bounded sample of labelled documents: those of small hashes.
 LABELLED = 4000
-#: Rounds, and the share of the unlabelled documents that a view labels in each.
+#: Rounds, and the share of the unlabelled documents that a view labels in each at most.
 ROUNDS, SURE = 5, 0.05
+#: How often a view must be right among held-back rows to label, and the weight of a
+#: pseudo-label (less where they outnumber the labels: all of them weigh no more than these).
+PRECISION, PSEUDO = 0.95, 0.5
 WORD_CELLS, SOURCE_CELLS, HOST_CELLS = 128, 32, 32
 TEXT_WIDTH = WORD_CELLS + 9
 #: Steps of a fit at most, and the largest change of a weight in the last one.
@@ -176,8 +181,36 @@ def _given(views: list[np.ndarray], hashes: np.ndarray, rounds: list[Round]) ->
     return given
 
 
-def _cut(counts: np.ndarray, low: int, high: int) -> tuple[int, float, int, float]:
-    """Where the ``low`` rows of the smallest logits and the ``high`` of the largest end."""
+def _sure_cells(label: np.ndarray, logits: np.ndarray) -> tuple[int, int] | None:
+    """Cells up to which label 0, and from which on label 1, is right often enough.
+
+    Judged by held-back rows with Laplace's estimate. None unless both labels have one: a
+    view that gives one label only would shift the classes.
+    """
+    cells, ends = _cells(logits), []
+    for label_, order in ((0, np.argsort(cells)), (1, np.argsort(-cells))):
+        right = np.cumsum(label[order] == label_)
+        whole = np.append(np.diff(cells[order]) != 0, True)
+        rate = (right + 1) / (np.arange(len(label)) + 3)
+        good = np.flatnonzero(whole & (rate >= PRECISION))
+        if not len(good):
+            return None
+        ends.append(int(cells[order[good[-1]]]))
+    return ends[0], ends[1]
+
+
+def _cut(
+    counts: np.ndarray, low: int, high: int, sure: tuple[int, int] | None
+) -> tuple[int, float, int, float]:
+    """Where the ``low`` rows of the smallest logits and the ``high`` of the largest end.
+
+    Fewer of both, in the same proportion, if the sure cells have not as many; none without.
+    """
+    part = 0.0
+    if sure:
+        room = (counts[: sure[0] + 1].sum(), counts[sure[1] :].sum())
+        part = min(1.0, *(x / max(1, y) for x, y in zip(room, (low, high), strict=True)))
+    low, high = int(low * part), int(high * part)
 
     def end(counts: np.ndarray, rows: int) -> tuple[int, float]:
         upto = np.cumsum(counts)
@@ -191,7 +224,12 @@ def _cut(counts: np.ndarray, low: int, high: int) -> tuple[int, float, int, floa
 
 
 def _cuts(
-    pool: DataFrame, rounds: list[Round], weights: list[np.ndarray], low: int, high: int
+    pool: DataFrame,
+    rounds: list[Round],
+    weights: list[np.ndarray],
+    low: int,
+    high: int,
+    sure: list[tuple[int, int] | None],
 ) -> list[tuple[int, float, int, float]]:
     """Each view's cut-offs among the rows of the pool that it has not labelled yet."""
     shared = pool.sparkSession.sparkContext.broadcast((rounds, weights))
@@ -213,7 +251,7 @@ def _cuts(
     counts = np.zeros((2, CELLS), np.int64)
     for r in found.groupBy("view", "cell").agg(F.sum("rows").alias("n")).collect():
         counts[r["view"], r["cell"]] = r["n"]
-    return [_cut(c, low, high) for c in counts]
+    return [_cut(c, low, high, x) for c, x in zip(counts, sure, strict=True)]
 
 
 def _added(parts: pd.DataFrame) -> pd.DataFrame:
@@ -226,12 +264,13 @@ def _added(parts: pd.DataFrame) -> pd.DataFrame:
 def _pool_sums(
     pool: DataFrame, rounds: list[Round], weights: list[np.ndarray]
 ) -> list[np.ndarray | float]:
-    """Moments of each view's fit over all rows of the pool that the other has labelled."""
+    """Moments of each view's fit over all rows of the pool that the other has labelled, and
+    the number of these rows."""
     shared = pool.sparkSession.sparkContext.broadcast((rounds, weights))
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         past, now = shared.value
-        total = [np.zeros(1 + len(w) + len(w) ** 2) for w in now]
+        total = [np.zeros(2 + len(w) + len(w) ** 2) for w in now]
         for batch in batches:
             if not len(batch):
                 continue
@@ -239,7 +278,8 @@ def _pool_sums(
             labels = _given(views, batch["hash"].to_numpy(), past)[::-1]
             for v, label in enumerate(labels):
                 some = label >= 0
-                total[v] += _moments(views[v][some], label[some], now[v])
+                total[v][:-1] += _moments(views[v][some], label[some], now[v])
+                total[v][-1] += some.sum()
         part = TaskContext.get().partitionId()
         yield pd.DataFrame({"part": part, "view": [0, 1], "sums": [x.tobytes() for x in total]})
 
@@ -257,7 +297,8 @@ def _pool_sums(
 def cotrain(known: pd.DataFrame, pool: DataFrame) -> tuple[Views, list[Round]] | None:
     """Fits on labelled rows and on all rows of the pool; also what the rounds have given.
 
-    Every fourth labelled row is held back to calibrate. None without both labels.
+    Every fourth labelled row is held back: these rows tell when a view is sure, and
+    calibrate. The rounds end early when no view is. None without both labels.
     """
     if not len(known):
         return None
@@ -273,11 +314,19 @@ def cotrain(known: pd.DataFrame, pool: DataFrame) -> tuple[Views, list[Round]] |
     weights = _newton(own, [np.zeros(x.shape[1] + 1) for x in views])
     rounds: list[Round] = []
     for _ in range(ROUNDS if take else 0):
-        cuts = _cuts(pool, rounds, weights, int(take * (1 - share)), int(take * share))
-        rounds.append(Round(weights, cuts))
+        sure = [
+            _sure_cells(label[held], _logit(x[held], w))
+            for x, w in zip(views, weights, strict=True)
+        ]
+        if not any(sure):
+            break
+        low, high = int(take * (1 - share)), int(take * share)
+        rounds.append(Round(weights, _cuts(pool, rounds, weights, low, high, sure)))
 
         def all_rows(now: list[np.ndarray]) -> list[np.ndarray]:
-            return [x + y for x, y in zip(own(now), _pool_sums(pool, rounds, now), strict=True)]
+            given = _pool_sums(pool, rounds, now)
+            weight = [min(PSEUDO, (~held).sum() / max(1.0, y[-1])) for y in given]
+            return [x + y[:-1] * k for x, y, k in zip(own(now), given, weight, strict=True)]
 
         weights = _newton(all_rows, weights)
     logits = np.column_stack([_logit(x[held], w) for x, w in zip(views, weights, strict=True)])
