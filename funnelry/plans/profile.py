@@ -21,8 +21,9 @@ FIELD_ENTRY = r"'id': '(cf_[^']+)'[^}]*?'name': '([^']*)'[^}]*?'type': '([^']*)'
 
 
 def table_inventory(spark: SparkSession, database: str) -> DataFrame:
-    """Tables of a database with their kind."""
-    rows = [(database, t.name, t.tableType) for t in spark.catalog.listTables(database)]
+    """Tables of a database with their kind; the session's own views are in no database."""
+    listed = spark.catalog.listTables(database)
+    rows = [(database, t.name, t.tableType) for t in listed if t.tableType != "TEMPORARY"]
     return spark.createDataFrame(rows, "table_schema string, table_name string, table_type string")
 
 

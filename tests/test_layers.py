@@ -355,3 +355,13 @@ def test_sale_sources_count_pairs_without_making_them(spark):
         "new_sale_only": (1, 5.0),
         "strategy_sale_only": (1, 0.0),
     }
+
+
+def test_catalog_leaves_out_views_of_the_session(spark):
+    spark.range(3).createOrReplaceTempView("view_of_the_session")
+    database = "catalogued_beside_views"
+    spark.sql(f"CREATE DATABASE {database}")
+    spark.range(5).write.saveAsTable(f"{database}.numbers")
+    rows = profile.catalog_profile(spark, database).collect()
+    assert [(r["table_name"], r["row_count"]) for r in rows] == [("numbers", 5)]
+    spark.catalog.dropTempView("view_of_the_session")
