@@ -1,14 +1,18 @@
 """N-gram Jaccard join with prefixes under several global token orders.
 
 Two sets of a Jaccard similarity of t or more share a token among the first
-``n - ceil(t * n) + 1`` of each, under any order of all tokens. Order A puts rare tokens
-first; orders B and C are hashes. Only pairs that share prefix tokens under all of them, and
-whose sizes allow it, are verified, on the words themselves.
+``n - ceil(t * n) + 1`` of each, under any order of all tokens, and one more for each token
+that the prefix is longer by. Order A puts rare tokens first, and its prefixes are longer in
+proportion to the set; orders B and C are hashes. Only pairs that share prefix tokens under
+all of them, and whose sizes allow it, are verified, on the words themselves.
 
 The work is kept linear where many texts are alike:
 
-1. Equal sets are one class, and one node from there on.
-2. In each prefix token's list the nodes that share much are paired with a few leaders. The pairs that share
+1. Equal sets are one class, and one node from there on. All nodes are dealt into classes by
+   size, and each node counts its lists that have other nodes of a class. Two linked sets of
+   such sizes share so many prefix tokens, so a node leaves its lists without a class of such a
+   count: tokens shared by chance, or by sets that are half alike, go before any pair is made.
+2. In each prefix token's list the nodes are paired with a few leaders. The pairs that share
    most tokens, and enough of them, are verified; links make components. This is repeated
    with other leaders while it helps and far too many pairs remain.
 3. All other pairs of a list matter only if they lie in different components. Those are made
@@ -22,6 +26,7 @@ member instead of all pairs. Classes are told apart by 128-bit digests.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -51,6 +56,12 @@ LEADERS, MORE_LEADERS = 3, 12
 PAIRS_LEFT, WORTH = 2, 0.9
 #: A node is heavy if it shares one token in so many with others.
 HEAVY = 10
+#: Linked sets share one more prefix token of order A for each so many tokens.
+EXTRA = 32
+#: Size classes that nodes are dealt into, one for each bit of a long. So many cover all sizes
+#: of sets that may be linked to one; other sizes share the classes.
+CLASSES = 64
+_WIDTH = 2 * math.log(DEN / NUM) / CLASSES
 #: Early tokens of a set that keep a pair from being made at each common token.
 FIRST = 12
 _SEEN = 100_000
@@ -153,8 +164,14 @@ def word_sets(words: list[bytes], width: int = WORDS) -> set[tuple[bytes, ...]]:
     return set(zip(*(words[k:] for k in range(width)), strict=False))
 
 
-def prefix_length(n: int) -> int:
-    return n - -(-NUM * n // DEN) + 1
+def prefix_length(n: int, shared: int = 1) -> int:
+    """Tokens of which linked sets share so many."""
+    return n - -(-NUM * n // DEN) + shared
+
+
+def shared_tokens(n):
+    """Prefix tokens of order A that a set of size n shares with any linked one of its size or more."""
+    return 1 + n // EXTRA
 
 
 def linked(x: set, y: set) -> bool:
@@ -278,7 +295,8 @@ def _postings(sketch):
                 if len(seen) < _SEEN:
                     seen.add(node)
                 often = counts[tokens & np.uint64(len(counts) - 1)]
-                first = np.lexsort((tokens, often))[: prefix_length(len(tokens))]
+                p = prefix_length(len(tokens), shared_tokens(len(tokens)))
+                first = np.lexsort((tokens, often))[:p]
                 chosen, often = tokens[first], often[first]
                 columns[0].append(chosen.view(np.int64))
                 columns[1].append(1 + (2.0 ** (often / 8) // LIST_ROWS).astype(np.int32))
@@ -378,10 +396,12 @@ def _payloads_of(nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _verify(pairs: DataFrame, payloads: DataFrame) -> DataFrame:
     """Links among the pairs, by digest."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = payloads.join(nodes, "node", "left_semi")
 
     def side(x: str) -> DataFrame:
         names = ["digest", "b", "c", "words"]
-        return payloads.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in names])
+        return needed.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in names])
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").drop("a", "b")
     return stored(both.mapInPandas(_verified, "a binary, b binary"), "links")
@@ -403,7 +423,7 @@ def _overlap_allows(most: Column, n: str, m: str) -> Column:
 
 def _after_prefix(n: str) -> Column:
     """Tokens of a set that are not in its prefix."""
-    return F.ceil(F.col(n).cast("long") * NUM / DEN) - 1
+    return F.ceil(F.col(n).cast("long") * NUM / DEN) - 1 - F.floor(F.col(n) / EXTRA)
 
 
 def _with_component(lists: DataFrame, component: DataFrame) -> DataFrame:
@@ -413,10 +433,15 @@ def _with_component(lists: DataFrame, component: DataFrame) -> DataFrame:
 
 
 def _live(members: DataFrame) -> DataFrame:
-    """Members of the lists in which several components remain."""
-    low, high = F.min("component").alias("low"), F.max("component").alias("high")
-    several = members.groupBy("token").agg(low, high).filter("low != high").select("token")
-    return members.join(several, "token")
+    """Members of the lists in which several components remain; only split lists are joined."""
+    low, high = F.min("component"), F.max("component")
+    by_list = Window.partitionBy("token")
+    whole = members.filter("parts = 1")
+    whole = whole.withColumns({"low": low.over(by_list), "high": high.over(by_list)})
+    split = members.filter("parts > 1")
+    several = split.groupBy("token").agg(low.alias("low"), high.alias("high"))
+    several = several.filter("low != high").select("token")
+    return whole.filter("low != high").drop("low", "high").unionByName(split.join(several, "token"))
 
 
 def _heavy(lists: DataFrame) -> DataFrame:
@@ -515,32 +540,66 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
         "sets",
     )
     lists = stored(_lists(texts, spark.sparkContext.broadcast(_sketch(rows))), "lists")
-    heavy = stored(_heavy(lists).withColumn("component", F.col("node")), "heavy")
-    payloads = _payloads_of(heavy.select("node"), texts)
-    labels = components(_verify(_led(heavy, 0), payloads))
+    payloads = _payloads_of(lists.select("node"), texts)
+    labels = components(_verify(_led(lists.withColumn("component", F.col("node")), 0), payloads))
     component = _components_of(labels, payloads)
-    live = stored(_live(_with_component(heavy, component)), "heavy")
+    live = stored(_live(_with_component(lists, component)), "live")
     turn, before, (members, left) = 1, float("inf"), _pairs_left(live)
     while left > PAIRS_LEFT * members and left < WORTH * before:
         # A spanning forest stands for the links of all turns before.
         labels = components(forest(labels).union(_verify(_led(live, turn), payloads)))
         component = _components_of(labels, payloads)
-        live = stored(_live(_with_component(live, component)), "heavy")
+        live = stored(_live(_with_component(live, component)), "live")
         turn, before, (members, left) = turn + 1, left, _pairs_left(live)
-    rest = _across(stored(_live(_with_component(lists, component)), "live"))
+    rest = _across(live)
     payloads = _payloads_of(rest.select(F.explode(F.array("a", "b")).alias("node")), texts)
     return _labelled(rows, forest(labels).union(_verify(rest, payloads)))
 
 
 def _lists(texts: DataFrame, sketch) -> DataFrame:
-    """Prefix tokens that several sets have, with each of these sets."""
+    """Prefix tokens that several sets have, with each of these sets that may be linked."""
     schema = "token long, parts int, node long, n int, place int"
-    postings = texts.mapInArrow(_postings(sketch), schema)
-    postings = postings.withColumn("part", F.pmod(F.col("node"), F.col("parts")))
+    return _with_partners(texts.mapInArrow(_postings(sketch), schema))
+
+
+def _class(n: str) -> Column:
+    return F.pmod(F.floor(F.log(n) / _WIDTH), F.lit(CLASSES)).cast("int")
+
+
+def least_in_class(n: np.ndarray, class_: int) -> np.ndarray:
+    """Prefix tokens that a set of size n shares at least with a linked one of a size class.
+
+    Linked sets of sizes n and m have 3/7 (n + m) tokens in common, of which those after the
+    prefix of one of them, and of either, are not shared in the prefixes. Between the sizes of
+    a class that bound is least at an end.
+    """
+    n = n.astype(np.float64)
+    own = np.floor(np.log(n) / _WIDTH)
+    least = np.full(len(n), np.inf)
+    for turn in (0, CLASSES):
+        number = own + (class_ - own) % CLASSES - turn
+        low = np.maximum(np.exp(number * _WIDTH) * (1 - 1e-6), n * NUM / DEN)
+        high = np.minimum(np.exp((number + 1) * _WIDTH) * (1 + 1e-6), n * DEN / NUM)
+        for m in (low, high):
+            after = np.maximum(n, m) * (NUM / DEN - 1 / EXTRA) + 1
+            shared = (n + m) * NUM / (NUM + DEN) - after
+            least = np.minimum(least, np.where(low <= high * (1 + 1e-6), shared * (1 - 1e-6), np.inf))
+    return np.maximum(least, shared_tokens(-(-NUM * n // DEN)))
+
+
+def _with_partners(postings: DataFrame) -> DataFrame:
+    """Rows of lists that have, in some class, other nodes as often as a linked one would be.
+
+    Split lists count as having nodes of all classes.
+    """
+    dealt = postings.withColumn("part", F.pmod(F.col("node"), F.col("parts")))
     by_list = Window.partitionBy("token", "part")
-    lists = postings.withColumns(
+    # Nodes of a class that may be linked follow one another.
+    order = by_list.orderBy("n", "node")
+    dealt = dealt.withColumns(
         {
-            "before": F.lag("node").over(by_list.orderBy("node")),
+            "before": F.lag("node").over(order),
+            "smaller": F.lag("n").over(order),
             "low": F.min("node").over(by_list),
             "high": F.max("node").over(by_list),
         }
@@ -549,7 +608,43 @@ def _lists(texts: DataFrame, sketch) -> DataFrame:
     # the other parts of a split list may.
     alone = "low = high and parts = 1"
     again = "before is not null and before = node"
-    return lists.filter(f"not ({alone}) and not ({again})").drop("low", "high", "part", "before")
+    dealt = dealt.filter(f"not ({alone}) and not ({again})").drop("low", "high")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), _class("n"))
+    second = F.when(_class("smaller") == _class("n"), F.col("bit"))
+    dealt = dealt.withColumn("bit", bit).withColumn("second", second)
+    dealt = dealt.withColumns(
+        {"any": F.bit_or("bit").over(by_list), "two": F.bit_or("second").over(by_list)}
+    )
+    own, two = F.col("bit"), F.coalesce("two", F.lit(0).cast("long"))
+    others = F.col("any").bitwiseAND(F.bitwise_not(own)).bitwiseOR(two.bitwiseAND(own))
+    others = F.when(F.col("parts") > 1, F.lit(-1).cast("long")).otherwise(others)
+    row = F.struct("token", "parts", "place", others.alias("others"))
+    of_node = dealt.groupBy("node", "n").agg(F.collect_list(row).alias("rows"))
+    schema = "token long, parts int, node long, n int, place int"
+    return of_node.mapInArrow(_often, schema)
+
+
+def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of each node whose list has nodes of a class that is often among its lists."""
+    for batch in batches:
+        nodes, sizes, held = (batch.column(i) for i in range(3))
+        rows, counts = held.flatten(), np.diff(held.offsets.to_numpy())
+        others = rows.field("others").to_numpy()
+        starts = np.cumsum(counts) - counts
+        owner = np.repeat(np.arange(len(counts)), counts)
+        n = sizes.to_numpy().astype(np.int64)
+        keep = np.zeros(len(others), bool)
+        for bit in range(CLASSES if len(others) else 0):
+            has = (others >> bit) & 1
+            least = least_in_class(n, bit)
+            keep |= (has == 1) & (np.add.reduceat(has, starts) >= least)[owner]
+        kept = pa.array(np.flatnonzero(keep))
+        owner = pa.array(owner[keep])
+        token, parts, place = (rows.field(c).take(kept) for c in ("token", "parts", "place"))
+        yield pa.RecordBatch.from_arrays(
+            [token, parts, nodes.take(owner), sizes.take(owner), place],
+            ["token", "parts", "node", "n", "place"],
+        )
 
 
 def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:

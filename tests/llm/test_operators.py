@@ -19,7 +19,7 @@ import tiktoken
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from funnelry.llm import bpe, cotraining, crf_language, private_spans, topk, url_globs
+from funnelry.llm import bpe, cotraining, crf_language, jaccard_join, private_spans, topk, url_globs
 from funnelry.llm.components import components
 from funnelry.llm.cotraining import PSEUDO, SURE, _given, _moments, _newton, _views, cotrain, quality_scores
 from funnelry.llm.crf_language import Field, forward_backward, learn, predict_column, words_of
@@ -251,6 +251,36 @@ def test_jaccard_join(spark):
     assert jaccard_components(df.limit(0)).count() == 0
 
 
+def test_half_alike_sets_leave_the_lists(spark):
+    rng = random.Random(8)
+    fresh = lambda n: [f"u{rng.getrandbits(60)}" for _ in range(n)]
+    texts = []
+    for _ in range(20):
+        passage = fresh(40)
+        texts += [" ".join(passage + fresh(200 + i)) for i in range(3)]
+    base = fresh(240)
+    texts += [" ".join(base[:-5] + fresh(5)), " ".join(base), " ".join(base + fresh(60))]
+    rows = spark.createDataFrame([(t.encode(),) for t in texts], "text binary")
+    counts = np.zeros(1 << jaccard_join.SKETCH_BITS, np.uint8)
+    lists = jaccard_join._lists(rows, spark.sparkContext.broadcast(counts)).collect()
+    nodes = [jaccard_join._node(jaccard_join._digest(jaccard_join.shingles(t.encode()))) for t in texts]
+    assert {r["node"] for r in lists} == set(nodes[-3:])
+    by_size = sorted((texts.index(t), t) for t in texts)
+    got = jaccard_components(spark.createDataFrame(by_size, "doc_id long, text string")).collect()
+    assert sorted(r["component_id"] for r in got) == sorted([*range(60), 60, 60, 60])
+
+
+def test_shared_prefix_tokens_of_size_classes():
+    after = lambda n: n - jaccard_join.prefix_length(n, jaccard_join.shared_tokens(n))
+    for n in [*range(1, 130), 480, 999, 5003]:
+        least = [jaccard_join.least_in_class(np.array([n]), c)[0] for c in range(jaccard_join.CLASSES)]
+        for m in range(-(-3 * n // 4), 4 * n // 3 + 1):
+            common = -(-75 * (n + m) // 175)
+            class_ = int(np.floor(np.log(m) / jaccard_join._WIDTH)) % jaccard_join.CLASSES
+            assert 1 <= least[class_] <= common - max(after(n), after(m)), (n, m)
+    assert min(jaccard_join.least_in_class(np.array([480]), c)[0] for c in range(64)) >= 12
+
+
 def test_word_hashes_of_long_texts():
     words = [b"x" * 300_000, b"Ab", b"ab", b"c"] * 3 + [b"d"] * 200_000
     hashes = word_hashes(b" ".join(words))
