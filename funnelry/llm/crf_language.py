@@ -101,10 +101,11 @@ def forward_backward(
     lengths: np.ndarray,
     before: np.ndarray | None = None,
     after: np.ndarray | None = None,
-) -> tuple[np.ndarray, np.ndarray]:
+    moved: bool = True,
+) -> tuple[np.ndarray, np.ndarray | None]:
     """Label probabilities (chain, place, label) and expected transitions of padded chains.
 
-    ``before`` and ``after`` are messages from the parts on both sides, if these are parts.
+    Transitions are counted if ``moved``; labelling needs none. ``before`` and ``after`` are messages from the parts on both sides, if these are parts.
     """
     chains, places, labels = scores.shape
     weight = np.exp(scores - scores.max(axis=2, keepdims=True))
@@ -121,13 +122,14 @@ def forward_backward(
         back[ends] = 1.0 if after is None else after[ends]
         both[:, t] = _scaled(ahead[:, t] * back)
         if t:
-            alive = lengths > t
             right = weight[:, t] * back
-            left, right_ = ahead[alive, t - 1], right[alive]
-            whole = ((left @ step) * right_).sum(axis=1, keepdims=True)
-            expected += step * ((left / whole).T @ right_)
+            if moved:
+                alive = lengths > t
+                left, right_ = ahead[alive, t - 1], right[alive]
+                whole = ((left @ step) * right_).sum(axis=1, keepdims=True)
+                expected += step * ((left / whole).T @ right_)
             back = _scaled(right @ step.T)
-    return both, expected
+    return both, expected if moved else None
 
 
 @dataclass
@@ -217,7 +219,7 @@ class Field:
         result = np.empty((len(flat), labels))
         for group, at, inside in padded(order):
             both, _ = forward_backward(
-                table[ids[at]], self.moves, self.start, lengths[group], before[group], after[group]
+                table[ids[at]], self.moves, self.start, lengths[group], before[group], after[group], False
             )
             result[at[inside]] = both[inside]
         return np.split(result, begins[1:-1])

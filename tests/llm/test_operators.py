@@ -407,6 +407,8 @@ def test_forward_backward():
     rng = np.random.default_rng(4)
     scores, moves, start = rng.normal(size=(2, 4, 3)), rng.normal(size=(3, 3)), rng.normal(size=3)
     both, _ = forward_backward(scores, moves, start, np.array([4, 2]))
+    labelled, none = forward_backward(scores, moves, start, np.array([4, 2]), moved=False)
+    assert none is None and (labelled == both).all()
     for chain, length in ((0, 4), (1, 2)):
         sums = np.zeros((length, 3))
         for path in itertools.product(range(3), repeat=length):
