@@ -4,7 +4,8 @@ Two sets of a Jaccard similarity of t or more share a token among the first
 ``n - ceil(t * n) + 1`` of each, under any order of all tokens, and one more for each token
 that the prefix is longer by. Order A puts rare tokens first, and its prefixes are longer in
 proportion to the set; orders B and C are hashes. Only pairs that share prefix tokens under
-all of them, and whose sizes allow it, are verified, on the words themselves.
+all of them, and whose sizes and outlines (a bit map of the tokens) allow it, are verified, on
+the words themselves.
 
 The work is kept linear where many texts are alike:
 
@@ -12,9 +13,11 @@ The work is kept linear where many texts are alike:
    size, and each node counts its lists that have other nodes of a class. Two linked sets of
    such sizes share so many prefix tokens, so a node leaves its lists without a class of such a
    count: tokens shared by chance, or by sets that are half alike, go before any pair is made.
-2. In each prefix token's list the nodes are paired with a few leaders. The pairs that share
-   most tokens, and enough of them, are verified; links make components. This is repeated
-   with other leaders while it helps and far too many pairs remain.
+   Lists of the same nodes then become one, with the number of their tokens: a passage that
+   some sets share is one list, not one for each of its tokens.
+2. In each list the nodes are paired with a few leaders. The pairs that share most tokens, and
+   enough of them, are verified; links make components. This is repeated with other leaders
+   while it helps and far too many pairs remain.
 3. All other pairs of a list matter only if they lie in different components. Those are made
    in full, filtered and verified; with their links the components are complete. Where the
    first common token of two sets stands bounds their overlap, so that a token that stands
@@ -332,8 +335,29 @@ def _bit_map(nodes: DataFrame) -> np.ndarray:
     return np.packbits(bits)
 
 
+def outline(tokens: np.ndarray) -> bytes:
+    """A bit for each token, by its low bits, in a table of 8 to 16 bits a token."""
+    size = max(64, 1 << (8 * len(tokens) - 1).bit_length())
+    bits = np.zeros(size, bool)
+    bits[(tokens & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def outlines_allow(n: int, m: int, x: bytes, y: bytes) -> bool:
+    """Whether sets of sizes n and m may be linked: each bit that only one of them has stands
+    for a token, at least, that the other lacks."""
+    size = 8 * min(len(x), len(y))
+    x, y = (int.from_bytes(v, "little") for v in (x, y))
+    while (wide := max(x.bit_length(), y.bit_length())) > size:
+        half = max(size, 1 << ((wide - 1).bit_length() - 1))
+        x, y = ((v & ((1 << half) - 1)) | (v >> half) for v in (x, y))
+    most = min(n - (x & ~y).bit_count(), m - (y & ~x).bit_count())
+    return (NUM + DEN) * most >= NUM * (n + m)
+
+
 def _payloads(bit_map):
-    """For nodes that may have a partner: digest, words, and prefixes under orders B and C."""
+    """For nodes that may have a partner: digest, size, outline, prefixes under orders B and C,
+    and words."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = bit_map.value, set()
@@ -351,12 +375,14 @@ def _payloads(bit_map):
                 if len(seen) < _SEEN:
                     seen.add(digest)
                 b, c = (_hash_prefix(tokens, by).tobytes() for by in _MIX[:2])
-                rows.append((node, digest, b, c, zlib.compress(b" ".join(words_of(text)), 1)))
+                words = zlib.compress(b" ".join(words_of(text)), 1)
+                rows.append((node, digest, len(tokens), outline(tokens), b, c, words))
             if rows:
                 columns = zip(*rows, strict=True)
-                kinds = [pa.int64(), *[pa.binary()] * 4]
+                kinds = [pa.int64(), pa.binary(), pa.int64(), *[pa.binary()] * 4]
                 arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, ["node", "digest", "b", "c", "words"])
+                names = ["node", "digest", "n", "outline", "b", "c", "words"]
+                yield pa.RecordBatch.from_arrays(arrays, names)
 
     return emit
 
@@ -366,8 +392,21 @@ def _share(x: bytes, y: bytes) -> bool:
     return bool(np.isin(x, y, assume_unique=True).any())
 
 
+def _likely(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs that share prefix tokens under orders B and C and whose outlines are alike."""
+    for batch in batches:
+        rows = [
+            (r.a, r.b)
+            for r in batch.itertuples(index=False)
+            if outlines_allow(r.n_a, r.n_b, r.outline_a, r.outline_b)
+            and _share(r.b_a, r.b_b)
+            and _share(r.c_a, r.c_b)
+        ]
+        yield pd.DataFrame(rows, columns=["a", "b"])
+
+
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs that pass the filters of all orders and are linked."""
+    """Pairs that are linked."""
     for batch in batches:
         rows, sets = [], {}
 
@@ -379,8 +418,6 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             return sets[digest]
 
         for r in batch.itertuples(index=False):
-            if not (_share(r.b_a, r.b_b) and _share(r.c_a, r.c_b)):
-                continue
             if linked(windows(r.digest_a, r.words_a), windows(r.digest_b, r.words_b)):
                 rows.append((r.digest_a, r.digest_b))
         yield pd.DataFrame(rows, columns=["a", "b"])
@@ -389,22 +426,28 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _payloads_of(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Payloads of the nodes, and of some others, once each."""
     bits = texts.sparkSession.sparkContext.broadcast(_bit_map(nodes))
-    schema = "node long, digest binary, b binary, c binary, words binary"
+    schema = (
+        "node long, digest binary, n long, outline binary, b binary, c binary, words binary"
+    )
     found = texts.mapInArrow(_payloads(bits), schema)
     return stored(found.dropDuplicates(["digest"]), "payloads")
 
 
-def _verify(pairs: DataFrame, payloads: DataFrame) -> DataFrame:
-    """Links among the pairs, by digest."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    needed = payloads.join(nodes, "node", "left_semi")
+def _with_sides(pairs: DataFrame, payloads: DataFrame, columns: list[str]) -> DataFrame:
+    """The pairs with some columns of both nodes' payloads."""
+    for x in ("a", "b"):
+        named = [F.col(c).alias(f"{c}_{x}") for c in columns]
+        pairs = pairs.join(payloads.select(F.col("node").alias(x), *named), x)
+    return pairs
 
-    def side(x: str) -> DataFrame:
-        names = ["digest", "b", "c", "words"]
-        return needed.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in names])
 
-    both = pairs.join(side("a"), "a").join(side("b"), "b").drop("a", "b")
-    return stored(both.mapInPandas(_verified, "a binary, b binary"), "links")
+def _verify(pairs: DataFrame, payloads: DataFrame) -> DataFrame:
+    """Links among the pairs, by digest; words are sent only for likely ones."""
+    likely = _with_sides(pairs, payloads, ["n", "outline", "b", "c"])
+    likely = stored(likely.mapInPandas(_likely, "a long, b long").distinct(), "likely")
+    nodes = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    both = _with_sides(likely, payloads.join(nodes, "node", "left_semi"), ["digest", "words"])
+    return stored(both.drop("a", "b").mapInPandas(_verified, "a binary, b binary"), "links")
 
 
 def _components_of(labels: DataFrame, payloads: DataFrame) -> DataFrame:
@@ -449,15 +492,20 @@ def _heavy(lists: DataFrame) -> DataFrame:
 
     Sets that share a few tokens by chance are left to the third step.
     """
-    counts = lists.groupBy("node").agg(F.count(F.lit(1)).alias("k"), F.first("n").alias("of"))
+    counts = lists.groupBy("node").agg(F.sum("weight").alias("k"), F.first("n").alias("of"))
     return lists.join(counts.filter(F.col("k") * HEAVY >= F.col("of")).select("node"), "node")
 
 
 def _pairs_left(live: DataFrame) -> tuple[int, int]:
-    """Rows of the lists, and pairs across components, a pair counted in each list."""
-    each = live.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
-    lists = each.groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") ** 2).alias("s"))
-    sums = lists.agg(F.sum("c"), F.sum((F.col("c") ** 2 - F.col("s")) / 2)).first()
+    """Rows of the lists, and pairs across components, a row and a pair counted for each token."""
+    each = live.groupBy("token", "component").agg(
+        F.count(F.lit(1)).alias("c"), F.max("weight").alias("w")
+    )
+    lists = each.groupBy("token").agg(
+        F.sum("c").alias("c"), F.sum(F.col("c") ** 2).alias("s"), F.max("w").alias("w")
+    )
+    pairs = (F.col("c") ** 2 - F.col("s")) / 2
+    sums = lists.agg(F.sum(F.col("c") * F.col("w")), F.sum(pairs * F.col("w"))).first()
     return sums[0] or 0, sums[1] or 0
 
 
@@ -478,9 +526,9 @@ def _led(live: DataFrame, turn: int) -> DataFrame:
         for k in range(many)
     ]
     led = live.withColumns({"order": order, "part": part}).withColumn("led", F.array(*leaders))
-    both = led.select("node", "n", "component", F.explode("led").alias("by"))
+    both = led.select("node", "n", "component", "weight", F.explode("led").alias("by"))
     both = both.filter("by.node != node and by.component != component")
-    counted = both.groupBy("node", "n", "by.node", "by.n").agg(F.count(F.lit(1)).alias("c"))
+    counted = both.groupBy("node", "n", "by.node", "by.n").agg(F.sum("weight").alias("c"))
     counted = counted.toDF("node", "n", "other", "m", "c")
     most = F.col("c") + F.greatest(_after_prefix("n"), _after_prefix("m"))
     counted = counted.filter(_overlap_allows(F.least(most, "n", "m"), "n", "m"))
@@ -499,7 +547,7 @@ def _across(live: DataFrame) -> DataFrame:
     first token that both have, as far as the first few of each tell: that token stands
     earlier in both sets than any other common one, so that it allows what the others allow.
     """
-    counts = live.groupBy("node").agg(F.count(F.lit(1)).alias("k"))
+    counts = live.groupBy("node").agg(F.sum("weight").alias("k"))
     by_place = Window.partitionBy("node").orderBy("place", "token")
     heavy = _heavy(live).withColumn("at", F.row_number().over(by_place)).filter(F.col("at") <= FIRST)
     early = heavy.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("e"))
@@ -539,7 +587,8 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
         ),
         "sets",
     )
-    lists = stored(_lists(texts, spark.sparkContext.broadcast(_sketch(rows))), "lists")
+    lists = _lists(texts, spark.sparkContext.broadcast(_sketch(rows)))
+    lists = stored(_merged(lists), "lists")
     payloads = _payloads_of(lists.select("node"), texts)
     labels = components(_verify(_led(lists.withColumn("component", F.col("node")), 0), payloads))
     component = _components_of(labels, payloads)
@@ -551,9 +600,7 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
         component = _components_of(labels, payloads)
         live = stored(_live(_with_component(live, component)), "live")
         turn, before, (members, left) = turn + 1, left, _pairs_left(live)
-    rest = _across(live)
-    payloads = _payloads_of(rest.select(F.explode(F.array("a", "b")).alias("node")), texts)
-    return _labelled(rows, forest(labels).union(_verify(rest, payloads)))
+    return _labelled(rows, forest(labels).union(_verify(_across(live), payloads)))
 
 
 def _lists(texts: DataFrame, sketch) -> DataFrame:
@@ -562,6 +609,27 @@ def _lists(texts: DataFrame, sketch) -> DataFrame:
     return _with_partners(texts.mapInArrow(_postings(sketch), schema))
 
 
+def _merged(lists: DataFrame) -> DataFrame:
+    """Lists of the same nodes as one, known by a digest of them instead of the token.
+
+    Each row has how many tokens that are, and the first place of them in its set. All these
+    sets have the same of these tokens first. A list of one node links nothing and is left
+    out; split lists stay as they are.
+    """
+    by_list = Window.partitionBy("token")
+    whole = lists.filter("parts = 1").withColumns(
+        {
+            "low": F.min("node").over(by_list),
+            "high": F.max("node").over(by_list),
+            "nodes": F.bit_xor(F.xxhash64("node")).over(by_list),
+        }
+    )
+    whole = whole.filter("low != high").groupBy(F.col("nodes").alias("token"), "parts", "node", "n")
+    whole = whole.agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("weight"))
+    split = lists.filter("parts > 1").withColumn("weight", F.lit(1).cast("long"))
+    return whole.unionByName(split)
+
+
 def _class(n: str) -> Column:
     return F.pmod(F.floor(F.log(n) / _WIDTH), F.lit(CLASSES)).cast("int")
 

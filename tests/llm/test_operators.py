@@ -281,6 +281,91 @@ def test_shared_prefix_tokens_of_size_classes():
     assert min(jaccard_join.least_in_class(np.array([480]), c)[0] for c in range(64)) >= 12
 
 
+def _half_alike(rng, groups: int = 8, members: int = 6) -> list[str]:
+    """Groups of texts with a passage of three fifths in common, and a near copy in each."""
+    fresh = lambda n: [f"u{rng.getrandbits(60)}" for _ in range(n)]
+    texts = []
+    for _ in range(groups):
+        passage = fresh(180)
+        texts += [" ".join(passage + fresh(120)) for _ in range(members)]
+        texts.append(texts[-1] + " more words")
+    return texts
+
+
+def test_lists_of_the_same_sets_are_one(spark):
+    texts = _half_alike(random.Random(21))
+    rows = spark.createDataFrame([(t.encode(),) for t in texts], "text binary")
+    # Tokens in order of their hash alone.
+    counts = spark.sparkContext.broadcast(np.zeros(1 << jaccard_join.SKETCH_BITS, np.uint8))
+    lists = jaccard_join._lists(rows, counts).persist()
+    merged = jaccard_join._merged(lists).collect()
+    assert len(merged) * 10 < lists.count()
+    tokens_of, weights_of = {}, {}
+    for r in lists.collect():
+        tokens_of.setdefault(r["node"], set()).add(r["token"])
+    for r in merged:
+        weights_of.setdefault(r["node"], {})[r["token"]] = r["weight"]
+    for a, b in itertools.combinations(sorted(tokens_of), 2):
+        shared = weights_of.get(a, {}).keys() & weights_of.get(b, {}).keys()
+        assert sum(weights_of[a][t] for t in shared) == len(tokens_of[a] & tokens_of[b])
+    lists.unpersist()
+
+
+def test_words_of_half_alike_sets_are_not_sent(spark, monkeypatch):
+    texts = _half_alike(random.Random(22))
+    sent = []
+    store = jaccard_join.stored
+    monkeypatch.setattr(
+        jaccard_join, "stored", lambda df, name: sent.append((name, store(df, name))) or sent[-1][1]
+    )
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((tuple(r) for r in jaccard_components(df).collect()), key=str)
+    assert got == components_by_hand(list(enumerate(texts)))
+    # One pair of each group is linked, and only these are verified on words.
+    assert sum(found.count() for name, found in sent if name == "likely") == 8
+    assert sum(found.count() for name, found in sent if name == "links") == 8
+    assert [name for name, _ in sent].count("payloads") == 1
+
+
+def test_outlines_allow_all_linked_pairs():
+    rng = np.random.default_rng(23)
+    for n in (1, 2, 7, 8, 30, 127, 128, 129, 500, 1100):
+        for m in sorted({-(-3 * n // 4), n, 4 * n // 3}):
+            tokens = rng.integers(0, 1 << 63, n + m, dtype=np.uint64)
+            common = -(-75 * (n + m) // 175)
+            if common > min(n, m):
+                continue
+            for c in (common, common // 2):
+                x, y = tokens[:n], np.concatenate([tokens[:c], tokens[n : n + m - c]])
+                allow = jaccard_join.outlines_allow(
+                    n, m, jaccard_join.outline(x), jaccard_join.outline(y)
+                )
+                assert allow or c < common, (n, m)
+                assert not allow or c == common or n < 100, (n, m)
+
+
+def test_jaccard_join_of_split_lists_in_several_turns(spark, monkeypatch):
+    texts = _half_alike(random.Random(24), groups=3, members=5)
+    rng = random.Random(25)
+    base = texts[0].split()
+    for _ in range(15):
+        copy = list(base)
+        for _ in range(rng.randint(1, 8)):
+            copy[rng.randrange(len(copy))] = f"v{rng.getrandbits(40)}"
+        texts.append(" ".join(copy))
+    monkeypatch.setattr(jaccard_join, "PAIRS_LEFT", 0)
+    monkeypatch.setattr(jaccard_join, "FIRST", 1)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = components_by_hand(list(enumerate(texts)))
+    got = sorted((tuple(r) for r in jaccard_components(df).collect()), key=str)
+    assert got == want
+    # As if each token were in some 200 000 sets: all lists are split.
+    many = np.full(1 << jaccard_join.SKETCH_BITS, 141, np.uint8)
+    monkeypatch.setattr(jaccard_join, "_sketch", lambda rows: many)
+    got = sorted((tuple(r) for r in jaccard_components(df).collect()), key=str)
+    assert got == want
+
+
 def test_word_hashes_of_long_texts():
     words = [b"x" * 300_000, b"Ab", b"ab", b"c"] * 3 + [b"d"] * 200_000
     hashes = word_hashes(b" ".join(words))
