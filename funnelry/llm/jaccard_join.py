@@ -497,15 +497,10 @@ def _heavy(lists: DataFrame) -> DataFrame:
 
 
 def _pairs_left(live: DataFrame) -> tuple[int, int]:
-    """Rows of the lists, and pairs across components, a row and a pair counted for each token."""
-    each = live.groupBy("token", "component").agg(
-        F.count(F.lit(1)).alias("c"), F.max("weight").alias("w")
-    )
-    lists = each.groupBy("token").agg(
-        F.sum("c").alias("c"), F.sum(F.col("c") ** 2).alias("s"), F.max("w").alias("w")
-    )
-    pairs = (F.col("c") ** 2 - F.col("s")) / 2
-    sums = lists.agg(F.sum(F.col("c") * F.col("w")), F.sum(pairs * F.col("w"))).first()
+    """Rows of the lists, and pairs across components, a pair counted in each list."""
+    each = live.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
+    lists = each.groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") ** 2).alias("s"))
+    sums = lists.agg(F.sum("c"), F.sum((F.col("c") ** 2 - F.col("s")) / 2)).first()
     return sums[0] or 0, sums[1] or 0
 
 
@@ -526,8 +521,13 @@ def _led(live: DataFrame, turn: int) -> DataFrame:
         for k in range(many)
     ]
     led = live.withColumns({"order": order, "part": part}).withColumn("led", F.array(*leaders))
-    both = led.select("node", "n", "component", "weight", F.explode("led").alias("by"))
-    both = both.filter("by.node != node and by.component != component")
+    # Only those that may be linked are paired; a size is a bound of the overlap.
+    others = F.filter(
+        "led",
+        lambda by: (by["component"] != F.col("component"))
+        & ((NUM + DEN) * F.least("n", by["n"]) >= NUM * (F.col("n") + by["n"]).cast("long")),
+    )
+    both = led.withColumn("led", others).select("node", "n", "weight", F.explode("led").alias("by"))
     counted = both.groupBy("node", "n", "by.node", "by.n").agg(F.sum("weight").alias("c"))
     counted = counted.toDF("node", "n", "other", "m", "c")
     most = F.col("c") + F.greatest(_after_prefix("n"), _after_prefix("m"))

@@ -327,6 +327,17 @@ def test_words_of_half_alike_sets_are_not_sent(spark, monkeypatch):
     assert [name for name, _ in sent].count("payloads") == 1
 
 
+def test_leaders_that_cannot_be_linked_are_not_paired(spark):
+    # Two lists: sizes 100, 101 and 400; two nodes of one component.
+    rows = [(1, 1, 1, 100, 0, 1, 90), (1, 1, 2, 101, 0, 2, 90), (1, 1, 3, 400, 0, 3, 90)]
+    rows += [(2, 1, 4, 100, 0, 9, 95), (2, 1, 5, 101, 0, 9, 95)]
+    schema = "token long, parts int, node long, n int, place int, component long, weight long"
+    live = spark.createDataFrame(rows, schema)
+    led = jaccard_join._led(live, 1)
+    assert [tuple(r) for r in led.collect()] == [(1, 2)]
+    assert jaccard_join._pairs_left(live) == (5, 3)
+
+
 def test_outlines_allow_all_linked_pairs():
     rng = np.random.default_rng(23)
     for n in (1, 2, 7, 8, 30, 127, 128, 129, 500, 1100):
