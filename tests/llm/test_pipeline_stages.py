@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from funnelry.llm import jaccard_join
 
 NAMES = ["target", "source_size", "size", "quality", "draw", "copies", "taken", "_source", "_key",
          "_block", "_group", "_row", "row", "group", "doc", "x", "ids", "_copy"]
@@ -45,3 +46,25 @@ def test_last_stage_and_empty_tables(spark, docs):
     assert out.count() == docs.count()
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_near_duplicates_sends_words_of_likely_pairs_only(spark, monkeypatch):
+    rng = random.Random(31)
+    fresh = lambda n: [f"u{rng.getrandbits(60)}" for _ in range(n)]
+    texts = []
+    for _ in range(6):
+        passage = fresh(180)
+        texts += [" ".join(passage + fresh(120)) for _ in range(5)]
+        texts.append(texts[-1] + " more words")
+    sent, store = [], jaccard_join.stored
+
+    def stored(df, name):
+        sent.append((name, store(df, name)))
+        return sent[-1][1]
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(r["doc_id"] for r in kept) == [i for i in range(36) if i % 6 != 5]
+    assert sum(df.count() for name, df in sent if name == "likely") == 6
+    assert [name for name, _ in sent].count("payloads") == 1
