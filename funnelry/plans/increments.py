@@ -19,7 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from funnelry.functions import values
-from funnelry.operators.counters import apply_counts, difference, merge_latest
+from funnelry.operators.counters import (
+    SIGN,
+    add_counts,
+    apply_counts,
+    difference,
+    merge_latest,
+    moved_latest,
+)
 from funnelry.plans import bronze, gold, reports, silver
 from funnelry.plans.gold import UNIT, unit_of
 from funnelry.plans.silver import NEWEST, TIES
@@ -27,7 +34,22 @@ from funnelry.sources.tables import stored
 from funnelry.sources.versions import Change, Store
 
 ACTIVITIES, USERS, REFERENCE = "lead_activities_raw", "close_crm_users_raw", "reference"
-SIGN = "sign"
+#: What the reports read of a path; paths that differ in nothing else move none of them.
+REPORTED = [
+    "lead_id",
+    "funnel_source",
+    "initial_at",
+    "setter_user_id",
+    "initial_outcome",
+    "strategy_activity_id",
+    "strategy_at",
+    "closer_user_id",
+    "strategy_outcome",
+    "offer_presented",
+    "objections_faced",
+    "sale_activity_id",
+    *reports.MONEY,
+]
 #: Counts by day and person, or day and objection, are small and rewritten as a whole.
 REPORT_BUCKETS = 1
 #: Sums of money are kept with as many digits as a full build gives them.
@@ -62,7 +84,10 @@ def _load_rows(raw: DataFrame, seeds: Mapping[str, DataFrame]) -> DataFrame:
 def _merge_paths(
     change: Change, load: DataFrame, seeds: Mapping[str, DataFrame], buckets: int
 ) -> DataFrame:
-    """Merges events, matches the touched leads anew; paths that went (-1) or came (1)."""
+    """Merges events, matches the touched leads anew; paths that went (-1) or came (1).
+
+    Paths have the columns that reports read, and count how many of them moved.
+    """
     events = load.where(F.col("activity_type") == "CustomActivity").drop(
         "activity_type", "is_calendar", "is_sms"
     )
@@ -71,21 +96,27 @@ def _merge_paths(
     merged, touched = merge_latest(
         change, "events", events, ["lead_id", "activity_id"], NEWEST + TIES
     )
-    units = events.select(UNIT).distinct()
+    # Stored, as its size tells whether it can be broadcast: the history then stays in place.
+    units = stored(events.select(UNIT).distinct(), "units")
     mine = merged.join(units, UNIT, "left_semi")
     typed = gold.typed_events(mine, seeds["custom_activity_type_map"], gold.FUNNEL_STAGES)
-    paths = gold.funnel_paths(stored(typed, "typed"))
-    paths = stored(paths.withColumn(UNIT, unit_of("lead_id", "initial_activity_id")), "paths")
+    # Read again for key counts, of which its few columns are less work than storing it all.
+    paths = gold.funnel_paths(typed)
+    paths = paths.withColumn(UNIT, unit_of("lead_id", "initial_activity_id"))
 
     change.create("fact_lead_funnel", paths.schema, [UNIT], buckets)
     before = change.read("fact_lead_funnel", touched)
     others = before.join(units, UNIT, "left_anti")
-    old = before.join(units, UNIT, "left_semi")
-    signed = paths.withColumn(SIGN, F.lit(1)).unionByName(old.withColumn(SIGN, F.lit(-1)))
-    moved = signed.groupBy(*paths.columns).agg(F.sum(SIGN).cast("bigint").alias(SIGN))
-    moved = stored(moved.where(F.col(SIGN) != 0), "moved")
     change.replace("fact_lead_funnel", others.unionByName(paths), touched)
-    return moved
+    after = change.read("fact_lead_funnel", touched)
+
+    def signed(rows: DataFrame, sign: int) -> DataFrame:
+        rows = rows.join(units, UNIT, "left_semi")
+        return rows.select(*REPORTED, F.lit(sign).alias(SIGN))
+
+    both = signed(after, 1).unionByName(signed(before, -1))
+    moved = both.groupBy(*REPORTED).agg(F.sum(SIGN).cast("bigint").alias(SIGN))
+    return stored(moved.where(F.col(SIGN) != 0), "moved")
 
 
 def _merge_evidence(change: Change, load: DataFrame, buckets: int) -> DataFrame:
@@ -101,13 +132,9 @@ def _merge_evidence(change: Change, load: DataFrame, buckets: int) -> DataFrame:
         "is_sms",
     )
     change.create("activity_heads", heads.schema, [UNIT], buckets)
-    units = heads.select(UNIT).distinct()
-    before = change.read("activity_heads", change.touched("activity_heads", units))
-    old = before.join(units, UNIT, "left_semi").withColumn(SIGN, F.lit(-1))
-    merged, _ = merge_latest(change, "activity_heads", heads, ["activity_id"], NEWEST + TIES)
-    new = merged.join(units, UNIT, "left_semi").withColumn(SIGN, F.lit(1))
+    moved = moved_latest(change, "activity_heads", heads, ["activity_id"], NEWEST + TIES)
     sign = F.col(SIGN)
-    return old.unionByName(new).select(
+    return moved.select(
         reports.evidence_date(),
         "setter_user_id",
         "lead_id",
@@ -186,7 +213,7 @@ def _inbound(
     }
     delta = difference(touched, setter, counts)
     _counters(change, "inbound_setters", delta, setter, REPORT_BUCKETS)
-    apply_counts(change, "inbound_setters", delta)
+    add_counts(change, "inbound_setters", delta)
 
 
 def _outbound(change: Change, moved: DataFrame, outcomes: DataFrame, buckets: int) -> None:
@@ -202,7 +229,7 @@ def _outbound(change: Change, moved: DataFrame, outcomes: DataFrame, buckets: in
     }
     delta = difference(touched, setter, counts)
     _counters(change, "outbound_setters", delta, setter, REPORT_BUCKETS)
-    apply_counts(change, "outbound_setters", delta, rows="paths")
+    add_counts(change, "outbound_setters", delta, rows="paths")
 
 
 def _closers(change: Change, moved: DataFrame, outcomes: DataFrame) -> None:
@@ -210,13 +237,14 @@ def _closers(change: Change, moved: DataFrame, outcomes: DataFrame) -> None:
     rows = reports.closer_rows(moved, outcomes, [SIGN])
     changes = _signed(rows, closer, reports.CLOSER_COUNTS)
     _counters(change, "closers", changes, closer, REPORT_BUCKETS)
-    apply_counts(change, "closers", changes, rows="paths")
+    add_counts(change, "closers", changes, rows="paths")
 
 
 def _objections(change: Change, moved: DataFrame, categories: DataFrame, buckets: int) -> None:
     """Members of a date and category; a NULL category stands for all evaluated calls."""
     label, day = F.col("objection_category"), values.utc_date("strategy_at").alias("report_date")
-    named = gold.fact_objection(moved, categories, [SIGN]).select(
+    paths = moved.withColumn("lead_funnel_id", F.lit(None).cast("string"))
+    named = gold.fact_objection(paths, categories, [SIGN]).select(
         "report_date",
         label,
         F.explode(
@@ -253,7 +281,7 @@ def _objections(change: Change, moved: DataFrame, categories: DataFrame, buckets
     }
     delta = difference(touched, group, counts)
     _counters(change, "objection_categories", delta, group, REPORT_BUCKETS)
-    apply_counts(change, "objection_categories", delta)
+    add_counts(change, "objection_categories", delta)
 
 
 # --- loads ----------------------------------------------------------------------------

@@ -175,7 +175,9 @@ class Store:
         files = [f for b, fs in table.files.items() if b in wanted for f in fs]
         schema = T._parse_datatype_string(table.schema)
         if not files:
-            return self.spark.createDataFrame([], schema)
+            # No rows that the optimizer knows to be none, unlike those of an empty list.
+            none = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+            return self.spark.range(0).select(*none).where(F.lit(False))
         return self.spark.read.schema(schema).parquet(*[f"{self.folder.path}/{f}" for f in files])
 
     def begin(self) -> Change:

@@ -133,6 +133,64 @@ def test_taking_back_what_was_not_added_raises(spark, tmp_path):
         counters.apply_counts(change, "t", df)
 
 
+def test_merged_rows_are_read_from_the_files_written_for_them(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    put(store, [(f"k{i}", i) for i in range(40)]).commit()
+    change = store.begin()
+    incoming = spark.createDataFrame([("k7", 1000), ("new", 1)], "k string, v long")
+    merged, touched = counters.merge_latest(change, "t", incoming, ["k"], ["v"])
+    written = {f for b in touched for f in change.tables["t"].files.get(b, ())}
+    # Nothing else was stored on the way: the history is written once.
+    assert {f.rsplit("/", 1)[1] for f in merged.inputFiles()} == {f.rsplit("/", 1)[1] for f in written}
+    rows = dict(rows_of(merged))
+    assert rows["k7"] == 1000 and rows["new"] == 1
+
+
+def test_versions_that_go_and_come(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    schema = "k string, v long, x string"
+    change = put(store, [("a", 1, "a1"), ("b", 5, "b5"), ("c", None, "c"), (None, 1, "n1"), ("d", 2, "d2")], schema)
+    change.commit()
+    change = store.begin()
+    # Newer, older, after none, without key, the same again, new and three times over.
+    rows = [("a", 2, "a2"), ("b", 4, "b4"), ("c", 0, "c0"), (None, 2, "n2"), ("d", 2, "d2")]
+    rows += [("e", i, f"e{i}") for i in (1, 3, 2)]
+    incoming = spark.createDataFrame(rows, schema)
+    moved = counters.moved_latest(change, "t", incoming, ["k"], ["v"])
+    found = sorted((r.sign, r.x) for r in moved.collect())
+    assert found == [(-1, "a1"), (-1, "c"), (-1, "n1"), (1, "a2"), (1, "c0"), (1, "e3"), (1, "n2")]
+    change.commit()
+    assert sorted(r.x for r in store.read("t").collect()) == ["a2", "b5", "c0", "d2", "e3", "n2"]
+
+
+def test_a_table_without_files_is_known_to_be_empty(spark, tmp_path):
+    change = Store(spark, str(tmp_path / "s")).begin()
+    schema = "k string, at timestamp_ntz, amount decimal(38,2), s struct<x:int>"
+    change.create("t", spark.createDataFrame([], schema).schema, ["k"], 3)
+    none = change.read("t")
+    assert none.schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
+    assert none.rdd.getNumPartitions() <= 1 and none.count() == 0
+    some = spark.createDataFrame([("a", None, None, None)], schema)
+    assert "Union" not in plan_of(none.unionByName(some))
+
+
+def test_counts_come_as_they_are_and_are_not_stored_first(spark, tmp_path, monkeypatch):
+    names = []
+    monkeypatch.setattr(counters, "stored", lambda df, name: names.append(name) or stored(df, name))
+    store = Store(spark, str(tmp_path / "s"))
+    schema = "k string, n long, v long"
+    for rows in ([("a", 1, 2), ("a", 1, 3), (None, 1, 4)], [("a", -1, -3), ("b", 1, 1), ("b", -1, -1), (None, -1, -4)]):
+        df = spark.createDataFrame(rows, schema)
+        change = store.begin()
+        change.create("t", df.schema, ["k"], 4)
+        touched = counters.apply_counts(change, "t", df)
+        found = sorted((r.k or "", r.old.n, r.new.n, r.new.v) for r in touched.collect())
+        change.commit()
+    assert found == [("", 1, 0, 0), ("a", 2, 1, 2), ("b", 0, 0, 0)]
+    assert rows_of(store.read("t")) == [("a", 1, 2)]
+    assert names == ["t", "t"]  # the merged counts of each change, nothing else
+
+
 # --- loads ----------------------------------------------------------------------------
 
 
